@@ -6,16 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import packing, simhash
 from .common import table
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_simhash_near_dedup,)}
+    return {f.__name__: f for f in (op4_best_fit_packing, op7_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
