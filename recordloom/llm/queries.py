@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, simhash, toxicity
+from . import langid, packing, quality, simhash, toxicity
 from .common import table
 
 
@@ -32,8 +32,12 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op4_best_fit_packing, op5_toxicity, op7_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_quality_classifier, op4_best_fit_packing, op5_toxicity, op7_simhash_near_dedup, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
