@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, quality, simhash, toxicity
+from . import langid, licenses, packing, quality, simhash, toxicity, urlfilter
 from .common import table
 
 
@@ -32,13 +32,21 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.filtered(table(spark, sf_dir, "pages"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op4_best_fit_packing, op5_toxicity, op7_simhash_near_dedup, op9_language_id)}
+    return {f.__name__: f for f in (op1_quality_classifier, op4_best_fit_packing, op5_toxicity, op7_simhash_near_dedup, op8_url_filters, op9_language_id, op10_license_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_url_filters": urlfilter.sql(), "op10_license_scans": licenses.sql()}
