@@ -9,10 +9,9 @@ at its end travels on as blocks that a second, much smaller round packs in the s
 from __future__ import annotations
 
 import functools
-import re
 import sys
-import unicodedata
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -25,50 +24,39 @@ from pyspark.sql import functions as F
 from .common import map_texts, utf8, written
 
 LENGTH, END, OPEN_BINS = 2048, 0, 512
-#: Entries of a worker's cache of tokenised words; a full cache starts anew.
-CACHE = 1_000_000
-#: How the byte-level vocabulary cuts a text before it merges bytes, for texts without ODD characters.
-PIECES = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: How the byte-level vocabulary cuts a text before it merges bytes, and its one special token.
+PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPECIAL = "<|endoftext|>"
+#: Separators of information, which not all regular expressions count as space.
+APART = ("\x1c", "\x1d", "\x1e", "\x1f", SPECIAL)
 
 
-@functools.cache
-def odd() -> re.Pattern[str]:
-    """Characters that Python's classes and the vocabulary's see differently: numbers that are no digits, separators of information."""
-    numbers = (chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("No", "Nl"))
-    return re.compile("[\x1c-\x1f" + "".join(map(re.escape, numbers)) + "]")
+def byte_of() -> dict[str, int]:
+    """The printable character by which byte-level vocabularies write each byte: its own, or the next free one from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(256, 512))
+    return {chr(b if b in own else next(spare)): b for b in range(256)}
 
 
 class Encoder:
-    """Token ids as little-endian unsigned 32-bit bytes. Words are tokenised once and looked up afterwards."""
+    """Token ids as little-endian unsigned 32-bit bytes, those that ``tokenizers`` gives for the file at path.
+
+    The file's vocabulary merges by id, so the faster merges of ``tiktoken`` give the same ids from the same
+    file; texts with something set APART go through ``tokenizers`` itself.
+    """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        byte = byte_of()
+        ranks = {bytes(byte[c] for c in token): i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token != SPECIAL}
+        self.fast = tiktoken.Encoding("byte-level", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def __call__(self, text: str) -> bytes:
-        if SPECIAL in text or odd().search(text):
-            return self._ids(text)
-        pieces, words = PIECES.findall(text), self.words
-        try:
-            return b"".join([words[p] for p in pieces])
-        except KeyError:
-            pass
-        if len(words) > CACHE:
-            words.clear()
-        out = []
-        for p in pieces:
-            if (ids := words.get(p)) is None:
-                ids = self._ids(p)
-                if len(p) <= 64:
-                    words[p] = ids
-            out.append(ids)
-        return b"".join(out)
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids if any(a in text for a in APART) else self.fast(text)
+        return (array("I", ids) if sys.byteorder == "little" else np.array(ids, "<u4")).tobytes()
 
 
 @functools.lru_cache(maxsize=2)
