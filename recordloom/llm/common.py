@@ -60,13 +60,13 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: int = 1, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded rows and, but for single long rows, bounded bytes of text."""
     for batch in batches:
         start = size = 0
         lengths = [0 if n is None else n for n in pa.compute.binary_length(batch.column(text)).to_pylist()]
         for i, n in enumerate(lengths):
-            if i > start and (i - start >= BATCH_ROWS or size + n > BATCH_BYTES):
+            if i > start and (i - start >= BATCH_ROWS or size + n > most):
                 yield batch.slice(start, i - start)
                 start, size = i, 0
             size += n

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, licenses, packing, quality, simhash, toxicity, urlfilter
+from . import decontaminate, langid, licenses, packing, quality, simhash, toxicity, urlfilter
 from .common import table
 
 
@@ -14,6 +14,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -45,8 +50,8 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op4_best_fit_packing, op5_toxicity, op7_simhash_near_dedup, op8_url_filters, op9_language_id, op10_license_scans)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_benchmark_decontamination, op4_best_fit_packing, op5_toxicity, op7_simhash_near_dedup, op8_url_filters, op9_language_id, op10_license_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filters": urlfilter.sql(), "op10_license_scans": licenses.sql()}
+    return {"op2_benchmark_decontamination": decontaminate.sql(), "op8_url_filters": urlfilter.sql(), "op10_license_scans": licenses.sql()}
