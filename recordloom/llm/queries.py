@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, licenses, packing, quality, simhash, toxicity, urlfilter
+from . import decontaminate, langid, licenses, neighbours, packing, quality, simhash, toxicity, urlfilter
 from .common import table
 
 
@@ -33,6 +33,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.all_queries(table(spark, sf_dir, "embeddings"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_benchmark_decontamination, op4_best_fit_packing, op5_toxicity, op7_simhash_near_dedup, op8_url_filters, op9_language_id, op10_license_scans)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_benchmark_decontamination, op4_best_fit_packing, op5_toxicity, op6_nearest_neighbours, op7_simhash_near_dedup, op8_url_filters, op9_language_id, op10_license_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
