@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, licenses, neighbours, packing, quality, simhash, toxicity, urlfilter
+from . import decontaminate, langid, licenses, neighbours, packing, quality, simhash, suffix_dedup, toxicity, urlfilter
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -54,7 +58,7 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_benchmark_decontamination, op4_best_fit_packing, op5_toxicity, op6_nearest_neighbours, op7_simhash_near_dedup, op8_url_filters, op9_language_id, op10_license_scans)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_benchmark_decontamination, op3_suffix_array_dedup, op4_best_fit_packing, op5_toxicity, op6_nearest_neighbours, op7_simhash_near_dedup, op8_url_filters, op9_language_id, op10_license_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
