@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8, written
+from .common import drop_written, slices, utf8, written
 from .suffixes import DEPTH, repeated
 
 ANCHOR = 32
@@ -161,9 +161,13 @@ def covered_regions(docs: DataFrame, hot: int | None = None) -> DataFrame:
     """docs (id, mark, text binary) to rows (id, mark, parts): the covered runs (first, covered) of each document that has some."""
     hot = hot or HOT
     spark = docs.sparkSession
-    regions = written(docs.mapInArrow(_regions, "h long, digest long, id long, mark long, first long, size int"), "regions")
+    every = written(docs.mapInArrow(_regions, "h long, digest long, id long, mark long, first long, size int"), "regions")
+    twice = every.groupBy("h").agg(F.count("*").alias("regions")).where("regions > 1").select("h")
+    regions = written(every.join(twice, "h", "left_semi"), "repeated")
+    drop_written(every)
+    _forget(spark)
     classes = regions.groupBy("h", "digest").agg(F.count("*").alias("n"), F.min(F.struct("id", "mark", "first", "size")).alias("one"))
-    groups = classes.groupBy("h").agg(F.sum("n").alias("regions"), F.count("*").alias("distinct")).where("regions > 1").select("h", "distinct")
+    groups = classes.groupBy("h").agg(F.count("*").alias("distinct"))
     classes = written(classes.join(groups, "h").select("h", "digest", "n", "distinct", "one.*"), "classes")
     _forget(spark)
     usual = _by_document(classes.where(F.col("distinct") <= hot))
@@ -174,6 +178,8 @@ def covered_regions(docs: DataFrame, hot: int | None = None) -> DataFrame:
         covered = covered.unionByName(written(_hot(classes.where(F.col("distinct") > hot), docs), "covered"))
     hits = regions.join(covered, ["h", "digest"]).select("id", "mark", "first", "covered")
     found = written(hits.groupBy("id", "mark").agg(F.collect_list(F.struct("first", "covered")).alias("parts")), "hits")
+    for done in (regions, classes, covered):
+        drop_written(done)
     _forget(spark)
     return found
 
