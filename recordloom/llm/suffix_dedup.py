@@ -162,9 +162,11 @@ def covered_regions(docs: DataFrame, hot: int | None = None) -> DataFrame:
     hot = hot or HOT
     spark = docs.sparkSession
     every = written(docs.mapInArrow(_regions, "h long, digest long, id long, mark long, first long, size int"), "regions")
-    twice = every.groupBy("h").agg(F.count("*").alias("regions")).where("regions > 1").select("h")
+    # a table of its own, so that the join below is free to split a hot anchor's rows
+    twice = written(every.groupBy("h").agg(F.count("*").alias("regions")).where("regions > 1").select("h"), "anchors")
     regions = written(every.join(twice, "h", "left_semi"), "repeated")
     drop_written(every)
+    drop_written(twice)
     _forget(spark)
     classes = regions.groupBy("h", "digest").agg(F.count("*").alias("n"), F.min(F.struct("id", "mark", "first", "size")).alias("one"))
     groups = classes.groupBy("h").agg(F.count("*").alias("distinct"))
