@@ -17,6 +17,7 @@ from .operators import select as S
 from .operators import terms
 from .plans import errors, experiment, linkage, metrics, profile, recall
 from .sources import adapter, sinks, store, truth
+from .sources.workspace import kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -45,14 +46,14 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
 def both(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Normalised records of both sides: one of the two points at which a flow keeps what it has."""
     queries, pool = linkage.sides_of(*adapter.sides(spark, sf))
-    return queries.persist(), pool.persist()
+    return kept(queries, "queries"), kept(pool, "pool")
 
 
 @functools.lru_cache(maxsize=4)
 def pairs_of(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(truth pairs, universe)."""
     universe = records(spark, sf).where("src = 0").select(F.col("entity_id").alias("entity"))
-    return adapter.truth_pairs(spark, sf).withColumnRenamed("s1_id", "entity").persist(), universe
+    return kept(adapter.truth_pairs(spark, sf).withColumnRenamed("s1_id", "entity"), "truth"), kept(universe, "universe")
 
 
 def scale_ranked(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,7 +68,7 @@ def simple_union(spark: SparkSession, sf: str) -> DataFrame:
     queries, pool = both(spark, sf)
     found = linkage.scale_strategies(queries, pool)
     del found["sorted_neighbourhood"]
-    return S.ranked(S.union_scale(found)).persist()
+    return kept(S.ranked(S.union_scale(found)), "union")
 
 
 def simple_candidates(spark: SparkSession, sf: str) -> DataFrame:
@@ -80,7 +81,7 @@ def exact_scored(spark: SparkSession, sf: str) -> DataFrame:
     """Scored pairs for the metric queries: name token cosine, in hundredths so that scores tie."""
     queries, pool = both(spark, sf)
     found = linkage.with_ids(R.token_name(queries, pool), queries, pool)
-    return found.select("entity", "match_id", F.round("score", 2).alias("score")).persist()
+    return kept(found.select("entity", "match_id", F.round("score", 2).alias("score")), "scored")
 
 
 # --- profiles -------------------------------------------------------------------------------------------------------
@@ -564,7 +565,7 @@ def configuration_recall(spark, sf):
     """Every named cap and quota over one ranked pass."""
     pairs, _ = pairs_of(spark, sf)
     known = records(spark, sf).where("src > 0").select(F.col("entity_id").alias("match_id"))
-    return rounded(experiment.measured(scale_ranked(spark, sf).persist(), pairs, known, list(S.CONFIGURATIONS.values())))
+    return rounded(experiment.measured(kept(scale_ranked(spark, sf), "ranked"), pairs, known, list(S.CONFIGURATIONS.values())))
 
 
 @query
@@ -758,7 +759,8 @@ def train_score_lr(spark, sf):
     pairs, _ = pairs_of(spark, sf)
     cands, queries, pool = feature_pairs(spark, sf)
     rows = linkage.with_ids(X.pair_features(cands, queries, pool), queries, pool)
-    told = X.labelled(rows.withColumnRenamed("entity", "s1_id"), pairs.withColumnRenamed("entity", "s1_id")).withColumnRenamed("s1_id", "entity").persist()
+    told = X.labelled(rows.withColumnRenamed("entity", "s1_id"), pairs.withColumnRenamed("entity", "s1_id")).withColumnRenamed("s1_id", "entity")
+    told = kept(told, "features")
     model = linkage.estimator("logistic_regression", linkage.Models()).fit(linkage.weighted(told))
     return rounded(linkage.scored(model, told).select("entity", "match_id", "label", "score"))
 
