@@ -168,9 +168,11 @@ def covered_regions(docs: DataFrame, hot: int | None = None) -> DataFrame:
     drop_written(every)
     drop_written(twice)
     _forget(spark)
-    classes = regions.groupBy("h", "digest").agg(F.count("*").alias("n"), F.min(F.struct("id", "mark", "first", "size")).alias("one"))
-    groups = classes.groupBy("h").agg(F.count("*").alias("distinct"))
-    classes = written(classes.join(groups, "h").select("h", "digest", "n", "distinct", "one.*"), "classes")
+    each = written(regions.groupBy("h", "digest").agg(F.count("*").alias("n"), F.min(F.struct("id", "mark", "first", "size")).alias("one")).select("h", "digest", "n", "one.*"), "each")
+    groups = written(each.groupBy("h").agg(F.count("*").alias("distinct")), "groups")
+    classes = written(each.join(groups, "h"), "classes")
+    drop_written(each)
+    drop_written(groups)
     _forget(spark)
     usual = _by_document(classes.where(F.col("distinct") <= hot))
     cut = usual.join(docs, ["id", "mark"]).select("text", "parts").mapInArrow(_cut, "h long, digest long, many boolean, text binary")
