@@ -16,6 +16,7 @@ from ..config import Config, Models
 from ..operators import features as X
 from ..operators import retrieval as R
 from ..operators import select as S
+from ..sources.workspace import kept
 from . import metrics as M
 
 
@@ -151,7 +152,7 @@ def cross_validate(rows: DataFrame, truth: DataFrame, universe: DataFrame, confi
             model = estimator(name, m).fit(weighted(rows.where(F.col("fold") != k)))
             part = scored(model, rows.where(F.col("fold") == k)).select("entity", "match_id", "fold", "score")
             parts = part if parts is None else parts.unionByName(part)
-        scores[name] = parts
+        scores[name] = parts = kept(parts, "out-of-fold")
         points[name] = thresholds_of(parts, truth, universe, config)
     winner = max(m.candidates, key=lambda n: (points[n]["f05"], points[n]["macro_precision"]))
     return Validation(scores, points, winner)
@@ -195,5 +196,5 @@ def featured(candidates: DataFrame, queries: DataFrame, pool: DataFrame) -> Data
 
 def infer(model: PipelineModel, threshold: float, queries: DataFrame, pool: DataFrame, config: Config | None = None) -> DataFrame:
     """(entity, match_id, score, matched) of every candidate."""
-    rows = scored(model, featured(legacy_candidates(queries, pool, config), queries, pool))
+    rows = scored(model, featured(kept(legacy_candidates(queries, pool, config), "candidates"), queries, pool))
     return rows.select("entity", "match_id", "score", (F.col("score") >= threshold).alias("matched"))

@@ -80,8 +80,8 @@ def _path(spark: SparkSession, path: str):
 def write_manifest(spark: SparkSession, folder: str, stage: str, facts: dict) -> None:
     """A stage's manifest as JSON: written aside, then renamed, in any file system that Spark knows."""
     text = json.dumps(facts | {"stage": stage, "written_at": time.time()}, sort_keys=True)
-    aside, fs = _path(spark, f"{folder}/_{stage}.json.tmp")
-    target, _ = _path(spark, f"{folder}/_{stage}.json")
+    aside, fs = _path(spark, f"{folder}/manifest-{stage}.json.tmp")
+    target, _ = _path(spark, f"{folder}/manifest-{stage}.json")
     out = fs.create(aside, True)
     out.write(bytearray(text.encode()))
     out.close()
@@ -90,7 +90,7 @@ def write_manifest(spark: SparkSession, folder: str, stage: str, facts: dict) ->
 
 
 def read_manifest(spark: SparkSession, folder: str, stage: str) -> dict | None:
-    path, fs = _path(spark, f"{folder}/_{stage}.json")
+    path, fs = _path(spark, f"{folder}/manifest-{stage}.json")
     if not fs.exists(path):
         return None
     return json.loads("\n".join(r.value for r in spark.read.text(str(path)).collect()))
