@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.address import components
-from ..functions.text import ascii_tokens, normalize_address, normalize_country, normalize_name, strip_accents
+from ..functions.text import address_core, ascii_tokens, normalize_address, normalize_country, normalize_name, strip_accents
+from .workspace import kept
 
 
 def entity_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,8 +46,6 @@ def normalised(records: DataFrame, extract: bool = True) -> DataFrame:
             "country_norm": normalize_country(F.col("country")),
         }
     )
-    from ..functions.text import address_core
-
     out = out.withColumn("addr_core", address_core(F.col("addr_norm")))
     if not extract:
         return out.withColumns(dict.fromkeys(("pincode", "house_number", "city", "state"), F.lit("")))
@@ -70,6 +69,7 @@ def truth_pairs(spark: SparkSession, sf_dir: str, least: float = 0.6) -> DataFra
     frequency = sets.select(F.explode("w").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
     ranked = sets.select("src", "entity_id", F.size("w").alias("n"), F.explode("w").alias("t")).join(frequency, "t")
     ordered = ranked.groupBy("src", "entity_id", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "t"))), lambda x: x["t"]).alias("w"))
+    ordered = kept(ordered, "sets")
     length = F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1
     prefix = ordered.select("src", "entity_id", "n", F.explode(F.slice("w", F.lit(1), length.cast("int"))).alias("t"))
     left, right = prefix.where("src = 0"), prefix.where("src > 0")
