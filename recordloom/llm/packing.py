@@ -9,6 +9,7 @@ at its end travels on as blocks that a second, much smaller round packs in the s
 from __future__ import annotations
 
 import functools
+import re
 import sys
 import zlib
 from array import array
@@ -29,6 +30,13 @@ PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 SPECIAL = "<|endoftext|>"
 #: Separators of information, which not all regular expressions count as space.
 APART = ("\x1c", "\x1d", "\x1e", "\x1f", SPECIAL)
+#: Whitespace characters in a row that the faster pattern takes: its stack overflows somewhere above 900,000.
+RUN = 100_000
+
+
+def runs_long(text: str) -> bool:
+    """Whether more than RUN whitespace characters stand in a row."""
+    return len(text) > RUN and any(m.end() - m.start() > RUN for m in re.finditer(r"\s+", text))
 
 
 def byte_of() -> dict[str, int]:
@@ -42,7 +50,7 @@ class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes, those that ``tokenizers`` gives for the file at path.
 
     The file's vocabulary merges by id, so the faster merges of ``tiktoken`` give the same ids from the same
-    file; texts with something set APART go through ``tokenizers`` itself.
+    file; texts with something set APART or a whitespace run above RUN go through ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
@@ -55,7 +63,7 @@ class Encoder:
         self.fast = tiktoken.Encoding("byte-level", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def __call__(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids if any(a in text for a in APART) else self.fast(text)
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids if any(a in text for a in APART) or runs_long(text) else self.fast(text)
         return (array("I", ids) if sys.byteorder == "little" else np.array(ids, "<u4")).tobytes()
 
 

@@ -50,6 +50,13 @@ def test_words_join_to_the_tokenizers_ids():
             assert np.frombuffer(encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
 
 
+def test_very_long_whitespace_runs(spark):
+    plain = Tokenizer.from_file(PATH)
+    docs = [(1, " " * 2_000_000), (2, "a" + "\n" * 1_500_000 + "b"), (3, " " * packing.RUN + "x"), (4, "short text")]
+    whole(packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), PATH).collect(), docs, plain)
+    assert not packing.runs_long(docs[2][1]) and packing.runs_long(docs[1][1])
+
+
 def test_the_fullest_closes_first():
     bins = packing.Bins(10, 2)
     assert [bins.place(n) for n in (6, 7, 3, 2, 9, 8)] == [(0, 0), (1, 0), (1, 7), (0, 6), (2, 0), (3, 0)]
