@@ -46,6 +46,16 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
 
 
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = np.array([fingerprint(t) for t in batch.column(1).cast(pa.binary()).to_pylist()], np.uint64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["row", "fp"])
+
+
+def _struct(df: DataFrame) -> str:
+    return df.select(F.struct(*df.columns).alias("row")).schema["row"].dataType.simpleString()
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp): fp is the 64-bit fingerprint as a signed long."""
     return map_texts(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), _fingerprints, "id long, fp long")
@@ -220,6 +230,13 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
     return rows.mapInArrow(_compare, "u long, v long")
 
 
+def rooted(marked: DataFrame) -> DataFrame:
+    """(fp, rep, root) of each distinct fingerprint of (id, fp): its least id, null if it has none, and the fingerprint that names its component."""
+    reps = marked.groupBy("fp").agg(F.min("id").alias("rep"))
+    linked = components(links(reps.select("fp")))
+    return reps.join(linked, reps["fp"] == linked["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: (id_col, fingerprint, component_id).
 
@@ -230,9 +247,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns of docs are not looked at.
     """
     marked = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    reps = marked.groupBy("fp").agg(F.min("id").alias("rep"))
-    linked = components(links(reps.select("fp")))
-    reps = reps.join(linked, reps["fp"] == linked["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    reps = rooted(marked)
     least = reps.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = reps.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -246,3 +261,26 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = near_duplicates(docs, id_col, text_col).where(F.col(id_col).isNull() | (F.col("component_id") == F.col(id_col)))
     keys = kept.select(F.col(id_col).alias("__kept")).distinct()
     return docs.join(keys, docs[id_col].eqNullSafe(keys["__kept"]), "left_semi")
+
+
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Exactly one row of docs of each component, whatever its ids: the row with the least id, or one without an id if none has one.
+
+    Of rows that share that id (or the lack of one), the least fingerprint and then the least text stays.
+    Components of rows without an id are told apart by their fingerprints. Other columns are not looked at.
+    """
+    marked = written(fingerprints(docs, id_col, text_col), "fingerprints")
+    first = rooted(marked).groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("unnamed"), F.col("rep").alias("id"), "fp")).alias("first"))
+    stays = first.select(F.col("first.id").alias("id"), F.col("first.fp").alias("fp"))
+    rows = marked.groupBy("id").count()
+    stays = written(stays.join(rows, stays["id"].eqNullSafe(rows["id"]), "left").select(stays["id"], "fp", ((F.col("count") == 1) & stays["id"].isNotNull()).alias("alone")), "stays")
+    key = F.col(id_col).cast("long")
+    # An id of one row names it. Of the few others the text tells which component they are of.
+    alone = docs.join(stays.where("alone").select(F.col("id").alias("__kept")), key == F.col("__kept"), "left_semi")
+    shared = stays.where("not alone")
+    ids = shared.select(F.col("id").alias("__kept")).distinct()
+    rest = docs.join(ids, key.eqNullSafe(F.col("__kept")), "left_semi")
+    marks = map_texts(rest.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text")), _marks, f"row {_struct(docs)}, fp long")
+    marks = marks.withColumn("id", F.col("row")[id_col].cast("long")).groupBy("id", "fp").agg(F.min_by("row", F.struct(F.col("row")[text_col])).alias("row"))
+    one = marks.join(shared.select(F.col("id").alias("__kept"), F.col("fp").alias("__fp")), F.col("id").eqNullSafe(F.col("__kept")) & (F.col("fp") == F.col("__fp")), "left_semi")
+    return alone.unionByName(one.select("row.*"))

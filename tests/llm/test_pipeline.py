@@ -52,3 +52,14 @@ def test_stages_keep_columns_and_take_odd_rows(spark, tiny):
             assert out.columns == documents.columns and [f.dataType for f in out.schema] == [f.dataType for f in documents.schema], name
             out.collect()
         corpus_pipeline.STAGES[-1][1](spark, docs, tiny).collect()
+
+
+def test_one_copy_of_repeated_and_unnamed_rows_survives(spark, tiny):
+    schema = spark.read.parquet(f"{tiny}/documents.parquet").schema
+    text = lambda k: " ".join(f"word{k}x{i}" for i in range(80))
+    ids = [(1, "a"), (1, "a"), (None, "b"), (None, "b"), (None, "c"), (4, "c"), (5, "d"), (5, "e"), (6, "e"), (None, "f"), (7, "g"), (7, "g"), (8, "g")]
+    docs = spark.createDataFrame([(i, text(k), "en", "s", len(text(k))) for i, k in ids], schema)
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        docs = stage(spark, docs, tiny)
+    want = [(1, "a"), (None, "b"), (4, "c"), (5, "d"), (5, "e"), (None, "f"), (7, "g")]
+    assert sorted((str(r.doc_id), r.text) for r in docs.collect()) == sorted((str(i), text(k)) for i, k in want)
