@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import drop_written, written
 
 #: Fixed values: (verdict, host, path).
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
 DAMPING, ROUNDS, RATIO, DIGITS = 0.85, 10, 1.0, 12
+#: Share of a host's own mass below which a round's gain ends the rounds, and the most rounds until then. ROUNDS is that of sql().
+SETTLED, MOST_ROUNDS = 1e-9, 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""href\s*=\s*["']((?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^"'\s>]*)"""
 
@@ -56,18 +58,23 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return pairs.where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagated(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def propagated(seeds: DataFrame, edges: DataFrame, most: int = MOST_ROUNDS) -> DataFrame:
     """Personalised PageRank: seeds (host, mass) that sum to one, edges (src, dst, w) whose w sum to one by src; gives (host, mass).
 
-    Mass that reaches a host without links goes no further. Every round adds by host before it shuffles.
+    Mass that reaches a host without links goes no further. Round k adds what walks of k links bring, so masses
+    only grow, and no walk is left undamped. Rounds end when no host, new ones included, gains more than SETTLED
+    of its own mass, which no size of table changes; RuntimeError if that takes more than ``most`` rounds. Every
+    round adds by host before it shuffles.
     """
-    rank = seeds
-    for k in range(rounds):
-        moved = edges.join(rank.withColumnRenamed("host", "src"), "src").select(F.col("dst").alias("host"), (DAMPING * F.col("w") * F.col("mass")).alias("mass"))
-        rank = moved.unionByName(seeds.select("host", ((1 - DAMPING) * F.col("mass")).alias("mass"))).groupBy("host").agg(F.sum("mass").alias("mass"))
-        if k % 5 == 4:
-            rank = written(rank, "rank")
-    return rank
+    rank = written(seeds.select("host", ((1 - DAMPING) * F.col("mass")).alias("mass"), ((1 - DAMPING) * F.col("mass")).alias("gain")), "rank")
+    for _ in range(most):
+        moved = edges.join(rank.where("gain > 0").select(F.col("host").alias("src"), "gain"), "src").select(F.col("dst").alias("host"), F.lit(0.0).alias("mass"), (DAMPING * F.col("w") * F.col("gain")).alias("gain"))
+        summed = rank.select("host", "mass", F.lit(0.0).alias("gain")).unionByName(moved).groupBy("host").agg(F.sum("mass").alias("mass"), F.sum("gain").alias("gain"))
+        last, rank = rank, written(summed.select("host", (F.col("mass") + F.col("gain")).alias("mass"), "gain"), "rank")
+        drop_written(last)
+        if rank.where(F.col("gain") > SETTLED * F.col("mass")).isEmpty():
+            return rank.select("host", "mass")
+    raise RuntimeError(f"masses did not settle in {most} rounds")
 
 
 def _shares(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -75,7 +82,7 @@ def _shares(edges: DataFrame, src: str, dst: str) -> DataFrame:
     return edges.join(total, src).select(F.col(src).alias("src"), F.col(dst).alias("dst"), (F.col("n") / F.col("total")).alias("w"))
 
 
-def trust(rows: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def trust(rows: DataFrame, edges: DataFrame, most: int = MOST_ROUNDS) -> DataFrame:
     """(host, trust, distrust, blocked) of every host with either, from judged rows and host edges."""
     counts = rows.where("ruled is not null and host <> ''").groupBy("host").agg(F.count_if(F.col("ruled") == "allow").alias("allow"), F.count_if(F.col("ruled") == "block").alias("block"))
     counts, edges = written(counts, "seeds"), written(edges, "links")
@@ -83,7 +90,7 @@ def trust(rows: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     out = []
     for column, src, dst in (("allow", "src", "dst"), ("block", "dst", "src")):
         seeds = counts.where(F.col(column) > 0).select("host", (F.col(column) / float(totals[column] or 1)).alias("mass"))
-        out.append(propagated(seeds, _shares(edges, src, dst), rounds))
+        out.append(propagated(seeds, _shares(edges, src, dst), most))
     both = out[0].withColumnRenamed("mass", "trust").join(out[1].withColumnRenamed("mass", "distrust"), "host", "full").na.fill(0.0, ["trust", "distrust"])
     return both.select("host", F.round("trust", DIGITS).alias("trust"), F.round("distrust", DIGITS).alias("distrust")).withColumn("blocked", F.col("distrust") > RATIO * F.col("trust"))
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from recordloom.llm import urlfilter
 
 
@@ -66,3 +68,15 @@ def test_links_carry_trust_and_distrust(spark):
 def test_repeated_rows_stay(spark):
     df = rows(spark, [("http://a.com/en/", None)]).selectExpr("cast(null as long) as page_id", "url", "html")
     assert urlfilter.filtered(df.unionAll(df)).count() == 2
+
+
+def test_chains_longer_than_ten_hosts_settle(spark):
+    n = 13
+    data = [("http://bad.com/en/1", None), ("http://h1.io/", link("bad.com"))] + [(f"http://h{k}.io/", link(f"h{k - 1}.io")) for k in range(2, n + 1)]
+    got = {r.host: r for r in urlfilter.filtered(rows(spark, data)).collect()}
+    for k in range(1, n + 1):
+        assert got[f"h{k}.io"].verdict == "block" and abs(got[f"h{k}.io"].distrust - 0.15 * 0.85**k) < 1e-9, k
+    loop = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "src string, dst string, w double")
+    seed = spark.createDataFrame([("a", 1.0)], "host string, mass double")
+    with pytest.raises(RuntimeError):
+        urlfilter.propagated(seed, loop, 3)
