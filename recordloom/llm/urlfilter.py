@@ -16,7 +16,9 @@ from .common import drop_written, written
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
 DAMPING, ROUNDS, RATIO, DIGITS = 0.85, 10, 1.0, 12
 #: Share of a host's own mass below which a round's gain ends the rounds, and the most rounds until then. ROUNDS is that of sql().
-SETTLED, MOST_ROUNDS = 1e-9, 1000
+SETTLED, MOST_ROUNDS = 1e-11, 1000
+#: Masses that differ by less than this share of themselves are equal. Masses are compared as they are, and rounded only to be reported.
+TIE = 1e-9
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""href\s*=\s*["']((?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^"'\s>]*)"""
 
@@ -92,7 +94,8 @@ def trust(rows: DataFrame, edges: DataFrame, most: int = MOST_ROUNDS) -> DataFra
         seeds = counts.where(F.col(column) > 0).select("host", (F.col(column) / float(totals[column] or 1)).alias("mass"))
         out.append(propagated(seeds, _shares(edges, src, dst), most))
     both = out[0].withColumnRenamed("mass", "trust").join(out[1].withColumnRenamed("mass", "distrust"), "host", "full").na.fill(0.0, ["trust", "distrust"])
-    return both.select("host", F.round("trust", DIGITS).alias("trust"), F.round("distrust", DIGITS).alias("distrust")).withColumn("blocked", F.col("distrust") > RATIO * F.col("trust"))
+    blocked = F.col("distrust") > RATIO * (1 + TIE) * F.col("trust")
+    return both.select("host", F.round("trust", DIGITS).alias("trust"), F.round("distrust", DIGITS).alias("distrust"), blocked.alias("blocked"))
 
 
 def filtered(pages: DataFrame, rules: tuple = RULES) -> DataFrame:

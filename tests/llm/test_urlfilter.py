@@ -80,3 +80,12 @@ def test_chains_longer_than_ten_hosts_settle(spark):
     seed = spark.createDataFrame([("a", 1.0)], "host string, mass double")
     with pytest.raises(RuntimeError):
         urlfilter.propagated(seed, loop, 3)
+
+
+def test_verdicts_do_not_depend_on_the_size_of_masses(spark):
+    judged = spark.createDataFrame([("good", "allow"), ("bad", "block")], "host string, ruled string")
+    edges = spark.createDataFrame([("liker", "bad", 1), ("bulk", "bad", 10**13)], "src string, dst string, n long")
+    got = {r.host: r for r in urlfilter.trust(judged, edges).collect()}
+    assert got["liker"].distrust == 0 and got["liker"].blocked and got["bulk"].blocked and not got["good"].blocked
+    edges = spark.createDataFrame([("good", "even", 1), ("even", "bad", 1)], "src string, dst string, n long")
+    assert not {r.host: r.blocked for r in urlfilter.trust(judged, edges).collect()}["even"]
