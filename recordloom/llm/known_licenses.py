@@ -61,6 +61,19 @@ LICENSES = (
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
 )
 
+#: (licence id, canonical digest) of full texts, as Debian's common-licenses hold them.
+FULL_TEXTS = (
+    ("Apache-2.0", "4db164cc277b72e3d03f4161513c53b32de1cf3a402162a025e00d038383a74f"),
+    ("CC0-1.0", "cccf7894e1b9f4ba9f97728bf0c5baf9e07bc2ac93da7a51556451b1fb2b868e"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-3.0", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "26ba73e836ecb04fe87d5eca80ca27cff1afa2d7683455be1517bd23b8d27986"),
+    ("MPL-2.0", "4019e4c8fe9ede57c538b37b3332dc097a88c163e273bb6905d38316e63c2eb6"),
+)
+
 #: (spelling, the one it counts as), applied in this order after punctuation is gone.
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"), ("authoris", "authoriz"),

@@ -1,7 +1,7 @@
 """Licence scan by canonical digests: a whole text, put in canonical form, is looked up among known licences.
 
 Canonical form: case, copyright lines, punctuation and spellings that count as equal are made alike.
-The same form of every line that speaks of a licence is looked up too, so that notices inside longer
+The same form of every line is looked up too, so that notices inside longer
 texts are told. All of it is column expressions; the known digests are a constant, tiny table.
 """
 
@@ -14,11 +14,11 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .known_licenses import LICENSES, SPELLINGS
+from .known_licenses import FULL_TEXTS, LICENSES, SPELLINGS
 
 COPYRIGHT = r"[^a-z0-9\n]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4})|\(c\)[ \t]*[0-9]{4}|©|all rights reserved)[^\n]*"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\u2010-\u2015\u2018-\u201F\u2022\u00A0\u00AB\u00B7\u00BB]+"
-#: Lines that may be notices: of this many characters at most, with one of these words.
+#: Lines that sql() looks up: of this many characters at most, with one of these words.
 NOTICE_CHARS, NOTICE = 1000, r"(?i)licen[cs]e|copying|public domain"
 
 
@@ -47,6 +47,16 @@ def known() -> dict[str, str]:
     return {hashlib.sha256(plain_canonical(text).encode()).hexdigest(): name for name, text in LICENSES}
 
 
+@functools.cache
+def openings() -> str:
+    """What a lower-case line that has a known canonical form must start with.
+
+    Spellings share their first three characters with what they count as, so those of a form are those of its line.
+    """
+    starts = sorted({plain_canonical(text)[:3] for _, text in LICENSES})
+    return f"^(?:{PUNCTUATION})?(?:{'|'.join(x.replace(' ', PUNCTUATION) for x in starts)})"
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: (id_col, canonical_sha256, license_id, notices, n_notices).
 
@@ -56,9 +66,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     empty table gives no rows; other columns are not looked at.
     """
     spark = docs.sparkSession
-    digests = spark.createDataFrame(sorted(known().items()), "canonical_sha256 string, license_id string")
+    digests = spark.createDataFrame(sorted((known() | {d: name for name, d in FULL_TEXTS}).items()), "canonical_sha256 string, license_id string")
     lookup = F.create_map(*(F.lit(x) for pair in sorted(known().items()) for x in pair))
-    lines = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: (F.length(x) <= NOTICE_CHARS) & x.rlike(NOTICE))
+    lines = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: F.lower(x).rlike(openings()))
     found = F.filter(F.transform(lines, lambda x: F.try_element_at(lookup, digest(x))), lambda x: x.isNotNull())
     rows = docs.select(F.col(id_col), digest(F.col(text_col)).alias("canonical_sha256"), found.alias("__found"))
     rows = rows.join(F.broadcast(digests), "canonical_sha256", "left")

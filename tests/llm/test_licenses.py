@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import hashlib
+from pathlib import Path
+
+import pytest
 
 from recordloom.llm import licenses
-from recordloom.llm.known_licenses import GRANT_MIT, LICENSES, WARRANTY_MIT
+from recordloom.llm.known_licenses import GRANT_MIT, LICENSES, SPELLINGS, WARRANTY_MIT
 from recordloom.llm.queries import queries
 
 MIT = next(t for n, t in LICENSES if n == "MIT")
@@ -51,3 +54,19 @@ def test_whole_table_finds_planted_lines(spark):
         want = sum(licenses.plain_canonical(x) in {licenses.plain_canonical(t) for _, t in LICENSES} for x in docs[r.doc_id].split("\n"))
         assert r.n_notices == want
     assert sum(r.n_notices > 0 for r in got) > 5
+
+
+def test_every_known_form_is_told_as_a_line_of_a_longer_text(spark):
+    assert all(a[:3] == b[:3] for a, b in SPELLINGS)
+    rows = [(i, f"Some prose.\n ** {t.replace(chr(10), ' ').upper()}\nno license") for i, (_, t) in enumerate(LICENSES)]
+    got = {r.doc_id: (r.notices, r.n_notices) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: (n, 1) for i, (n, _) in enumerate(LICENSES)}
+
+
+def test_full_texts(spark):
+    folder = Path("/usr/share/common-licenses")
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    if not all((folder / f).exists() for f in files):
+        pytest.skip("no local licence texts")
+    df = spark.createDataFrame([(n, (folder / f).read_text(encoding="utf-8")) for f, n in files.items()], "doc_id string, text string")
+    assert all(r.license_id == r.doc_id for r in licenses.scan(df).collect())
