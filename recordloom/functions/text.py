@@ -125,10 +125,14 @@ def digit_runs(text: Column) -> Column:
 
 
 def char_ngrams(text: Column, n: int = 3) -> Column:
-    """Distinct n-grams of the characters; none of a shorter text."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
-    grams = F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
-    return F.when(F.length(text) >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+    """Distinct n-grams of the characters; none of a shorter text. Characters are split once, so that a gram costs the same anywhere in a text."""
+
+    def grams(chars: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(chars) - n, F.lit(0))), lambda i: F.concat(*(F.get(chars, i + k) for k in range(n))))
+
+    # a one-element array carries the characters into the inner function
+    held = F.transform(F.array(F.split(text, "")), grams)
+    return F.when(F.length(text) >= n, F.array_distinct(F.element_at(held, 1))).otherwise(F.array().cast("array<string>"))
 
 
 def word_ngrams(text: Column, least: int, most: int) -> Column:

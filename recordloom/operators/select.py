@@ -86,55 +86,117 @@ def _bits(names: tuple[str, ...]) -> int:
     return sum(C.SCALE_BITS.get(n, 0) for n in set(names))
 
 
-def select(candidates: DataFrame, how: Selection) -> DataFrame:
-    """Candidates (q, rank, mask, ...) that a configuration keeps.
+@dataclass(frozen=True)
+class _Rule:
+    """A selection as column expressions: quotas may be measured values of the row instead of constants."""
+
+    cap: int
+    union: bool
+    quotas: dict[str, Column]
+    quoted: Column
+    excluded: Column
+    always: tuple[str, ...]
+
+
+def _rule(how: Selection) -> _Rule:
+    quotas = {s: F.lit(q) for s, q in how.quotas.items() if q > 0 and s in C.SCALE_BITS}
+    return _Rule(how.cap, how.mode == "union", quotas, F.lit(bool(how.quotas)), F.lit(_bits(how.exclude_only)), how.always)
+
 
-    Without quotas and exclusions the rank alone counts. Exclusion drops rows that only excluded strategies
-    found, unless that leaves none of all queries: then everything stays. Quotas allow each strategy its
-    best rows and the exact strategies all of theirs; if that allows none of all queries, all are allowed.
-    The cap then goes by rank among what is left (union) or among all (rank). Fallbacks look at the whole
-    query set, by one aggregated row; results do not depend on batches.
+def decided(candidates: DataFrame, rules: dict[str, Selection | _Rule]) -> DataFrame:
+    """Adds a boolean column per rule: whether it keeps the candidate (q, rank, mask, ...). One pass decides all rules.
+
+    Exclusion drops rows that only excluded strategies found, unless that leaves none of all queries: then
+    everything stays. Quotas allow each strategy its best rows and the exact strategies all of theirs; if that
+    allows none of all queries, all are allowed. The cap then goes by rank among what is left (union, or
+    exclusion alone) or among all (rank). Fallbacks look at the whole query set, by one aggregated row;
+    results do not depend on batches.
     """
+    rules = {name: r if isinstance(r, _Rule) else _rule(r) for name, r in rules.items()}
+    by_query = Window.partitionBy("q").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    every = sum(C.SCALE_BITS.values())
+    columns = candidates.columns
+    counted = [s for s in C.SCALE_BITS if any(s in r.quotas for r in rules.values())]
+    rows = candidates.withColumns({f"__n_{s}": F.sum(has(s).cast("int")).over(by_query) for s in counted}) if counted else candidates
+    flags = {}
+    for name, r in rules.items():
+        alone = (F.col("mask").bitwiseAND(r.excluded) != 0) & (F.col("mask").bitwiseAND(F.lit(every) - r.excluded) == 0)
+        allowed = reduce(Column.__or__, (has(s) for s in r.always), F.lit(False))
+        for s, quota in r.quotas.items():
+            allowed = allowed | F.coalesce(has(s) & (F.col(f"__n_{s}") <= quota), F.lit(False))
+        flags |= {f"__base_{name}": ~alone, f"__allowed_{name}": allowed | ~r.quoted}
+    rows = rows.withColumns(flags)
+    facts = rows.agg(*(f(c).alias(f"{c}_{k}") for c in flags for k, f in (("some", F.bool_or), ("all", F.bool_and))))
+    rows = rows.crossJoin(F.broadcast(facts))
+    rows = rows.withColumns({f"__keep_{n}": F.col(f"__base_{n}") & (F.col(f"__allowed_{n}") | ~F.col(f"__allowed_{n}_some")) for n in rules})
+    rows = rows.withColumns({f"__left_{n}": F.sum(F.col(f"__keep_{n}").cast("int")).over(by_query) for n in rules})
+
+    def kept(name: str, r: _Rule) -> Column:
+        keep = F.col(f"__keep_{name}")
+        if r.cap > 0:
+            by_survivors = F.lit(r.union) | (~r.quoted & ~F.col(f"__base_{name}_all"))
+            keep = keep & F.when(by_survivors, F.col(f"__left_{name}") <= r.cap).otherwise(F.col("rank") < r.cap)
+        return keep | ~F.col(f"__base_{name}_some")
+
+    return rows.select(*columns, *(kept(n, r).alias(n) for n, r in rules.items()))
+
+
+def select(candidates: DataFrame, how: Selection) -> DataFrame:
+    """Candidates (q, rank, mask, ...) that a configuration keeps; see decided. Without quotas and exclusions the rank alone counts."""
     if not how.quotas and not how.exclude_only:
         return candidates if how.cap <= 0 else candidates.where(F.col("rank") < how.cap)
-    excluded = _bits(how.exclude_only)
-    only = (F.col("mask").bitwiseAND(excluded) != 0) & (F.col("mask").bitwiseAND(sum(C.SCALE_BITS.values()) & ~excluded) == 0) if excluded else F.lit(False)
-    rows = candidates.withColumn("__base", ~only)
-    by_query = Window.partitionBy("q").orderBy("rank")
-    allowed = F.lit(False)
-    for s in how.always:
-        allowed = allowed | has(s)
-    for s, quota in how.quotas.items():
-        if quota > 0 and s in C.SCALE_BITS:
-            rows = rows.withColumn(f"__{s}", F.sum(has(s).cast("int")).over(by_query.rowsBetween(Window.unboundedPreceding, 0)))
-            allowed = allowed | (has(s) & (F.col(f"__{s}") <= quota))
-    rows = rows.withColumn("__allowed", allowed if how.quotas else F.lit(True))
-    facts = rows.agg(F.bool_or("__base").alias("__some_base"), F.bool_and("__base").alias("__all_base"), F.bool_or("__allowed").alias("__some_allowed"))
-    rows = rows.crossJoin(F.broadcast(facts)).withColumn("__keep", F.col("__base") & (F.col("__allowed") | ~F.col("__some_allowed")))
-    if how.cap > 0:
-        rows = rows.withColumn("__left", F.sum(F.col("__keep").cast("int")).over(by_query.rowsBetween(Window.unboundedPreceding, 0)))
-        by_survivors = F.lit(how.mode == "union") | (F.lit(not how.quotas) & ~F.col("__all_base"))
-        rows = rows.withColumn("__keep", F.col("__keep") & F.when(by_survivors, F.col("__left") <= how.cap).otherwise(F.col("rank") < how.cap))
-    return rows.where(F.col("__keep") | ~F.col("__some_base")).select(*candidates.columns)
-
-
-def adaptive(attribution: list[dict], cap: int, mode: str = "rank", floor: int = 4) -> tuple[Selection, Selection]:
-    """Quotas from measured yields: (for queries without an exact hit, for those with one)."""
-    worth = {r["strategy"]: r["exclusive"] + 0.15 * r["recovered"] for r in attribution}
-    total = sum(worth.values())
-    drop = tuple(s for s in C.REPORT_ORDER if not worth.get(s))
-    quotas = {s: max(floor, round(cap * worth[s] / total)) for s in C.REPORT_ORDER if worth.get(s)}
-    shift = max(floor, quotas.get("address_token", 0) - quotas.get("name_token", 0))
-    exact = quotas | {"address_token": quotas.get("address_token", 0) + shift, "name_token": max(floor, quotas.get("name_token", 0) - shift)}
-    return tuple(Selection("adaptive", cap, q, drop, mode) for q in (quotas, exact))
+    return decided(candidates, {"__kept": how}).where("__kept").drop("__kept")
+
+
+def exact_hit() -> Column:
+    """Whether the candidate's query has any candidate of an exact strategy."""
+    return F.bool_or(F.col("mask").bitwiseAND(_bits(EXACT)) != 0).over(Window.partitionBy("q"))
+
+
+def decided_adaptive(candidates: DataFrame, base: Selection | _Rule, exact: Selection | _Rule, name: str) -> DataFrame:
+    """Adds a boolean column: by one of two rules, each decided over the whole query set; whether a query has an exact hit tells which."""
+    rows = decided(candidates, {"__rest": base, "__hit": exact}).withColumn("__exact", exact_hit())
+    return rows.select(*candidates.columns, F.when(F.col("__exact"), F.col("__hit")).otherwise(F.col("__rest")).alias(name))
 
 
 def select_adaptive(candidates: DataFrame, base: Selection, exact: Selection) -> DataFrame:
-    """Each query by one of two configurations: whether it has a candidate of an exact strategy decides."""
-    some = F.max((F.col("mask").bitwiseAND(_bits(EXACT)) != 0).cast("int")).over(Window.partitionBy("q"))
-    told = candidates.withColumn("__exact", some)
-    rest, hit = (told.where(F.col("__exact") == k).drop("__exact") for k in (0, 1))
-    return select(rest, base).unionByName(select(hit, exact))
+    """The candidates that decided_adaptive keeps."""
+    return decided_adaptive(candidates, base, exact, "__kept").where("__kept").drop("__kept")
+
+
+#: What a recovered pair is worth beside one that a strategy alone found, and the least quota of a strategy with any worth.
+CORROBORATION, FLOOR = 0.15, 4
+
+
+def measured_quotas(yields: DataFrame, cap: int) -> DataFrame:
+    """One row of quotas from yields (strategy, exclusive, recovered): __q_<strategy>, null without worth, and __drop, the bits of strategies without worth.
+
+    Slots of the cap go in proportion to worth, exclusive pairs and a share of the recovered ones.
+    """
+    worth = F.col("exclusive") + CORROBORATION * F.col("recovered")
+    total = yields.agg(F.sum(worth).alias("__total"))
+    told = yields.crossJoin(F.broadcast(total)).withColumn("__quota", F.when(worth > 0, F.greatest(F.lit(FLOOR), F.bround(cap * worth / F.col("__total")).cast("int"))))
+    return told.agg(
+        *(F.max(F.when(F.col("strategy") == s, F.col("__quota"))).alias(f"__q_{s}") for s in C.SCALE_BITS),
+        F.lit(sum(C.SCALE_BITS.values())).alias("__every"),
+        F.coalesce(F.sum(F.when(F.col("__quota").isNotNull(), reduce(lambda out, s: F.when(F.col("strategy") == s[0], s[1]).otherwise(out), C.SCALE_BITS.items(), F.lit(0)))), F.lit(0)).cast("int").alias("__worth"),
+    ).withColumn("__drop", F.col("__every") - F.col("__worth"))
+
+
+def adaptive(candidates: DataFrame, yields: DataFrame, cap: int, mode: str, name: str) -> DataFrame:
+    """Adds a boolean column: candidates kept under quotas measured from yields.
+
+    Queries with an exact hit have their name answered: as many slots as the address has more than the name
+    (FLOOR at least) go from names to addresses.
+    """
+    rows = candidates.crossJoin(F.broadcast(measured_quotas(yields, cap)))
+    quotas = {s: F.col(f"__q_{s}") for s in C.SCALE_BITS}
+    n, a = (F.coalesce(quotas[s], F.lit(0)) for s in ("name_token", "address_token"))
+    shift = F.greatest(F.lit(FLOOR), a - n)
+    moved = quotas | {"address_token": a + shift, "name_token": F.greatest(F.lit(FLOOR), n - shift)}
+    base = _Rule(cap, mode == "union", quotas, F.col("__worth") > 0, F.col("__drop"), EXACT)
+    exact = _Rule(cap, mode == "union", moved, F.lit(True), F.col("__drop"), EXACT)
+    return decided_adaptive(rows, base, exact, name).select(*candidates.columns, name)
 
 
 #: Caps of the sweep, and configurations by name.

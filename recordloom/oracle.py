@@ -5,11 +5,16 @@ Steps that several queries share are named common table expressions; each query
 
 from __future__ import annotations
 
+from .config import Config
 from .functions import constants as C
 from .operators import select as S
 from .operators.features import PLACES
 
 
+#: The configured cap of candidates a query.
+CAP = Config().scale.max_candidates_per_s1
+
+
 def _in(words) -> str:
     return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
 
@@ -101,7 +106,10 @@ def with_steps(needs: list[str], final: str) -> str:
 
     for key in needs:
         add(key)
-    return ("WITH " + ",\n".join(f"{k} AS ({STEPS[k][1]})" for k in done) + "\n" if done else "") + final
+    tables = ",\n".join(f"{k} AS ({STEPS[k][1]})" for k in done)
+    if final.startswith("WITH_MORE "):  # a query with a table of its own
+        return f"WITH {tables},\n{final.removeprefix('WITH_MORE ')}"
+    return (f"WITH {tables}\n" if done else "") + final
 
 
 step("docw", [], "SELECT doc_id, CAST(doc_id % 3 AS INTEGER) AS src, lang, text, regexp_extract_all(strip_accents(lower(text)), '[a-z0-9]+') AS w FROM documents")
@@ -235,15 +243,30 @@ def gather(prefix: str, budget: int) -> str:
 
 scale("sn", indexed("name_core", C.NAME_STOP))
 scale("sa", indexed("addr_core", C.ADDRESS_STOP))
+
+def indel(a: str, b: str) -> str:
+    """Twice the longest common subsequence of two texts that are not empty over both lengths, by dynamic programming over lists."""
+    row = f"list_reduce(range(1, length({b}) + 1), lambda done, j: done || [CASE WHEN substr({b}, j, 1) = c THEN row[j] + 1 ELSE greatest(row[j + 1], done[-1]) END], [0])"
+    return f"2.0 * list_reduce(string_split({a}, ''), lambda row, c: {row}, list_transform(range(0, length({b}) + 1), lambda i: 0))[-1] / (length({a}) + length({b}))"
+
+
+_START = "hex(encode(name_core))[1:12]"
+step(
+    "near",
+    ["q", "p"],
+    f"SELECT x.q, y.p, x.name_core AS a, y.name_core AS b FROM (SELECT q, name_core, {_START} AS s FROM q WHERE name_core <> '') x JOIN (SELECT p, name_core, {_START} AS s FROM p WHERE name_core <> '' QUALIFY row_number() OVER (PARTITION BY {_START} ORDER BY hex(encode(name_core)), p) <= 51) y USING (s)",
+)
+step("ratios", ["near"], f"SELECT a, b, {indel('a', 'b')} AS ratio FROM (SELECT DISTINCT a, b FROM near)")
+step("s_sn", ["near", "ratios"], "SELECT q, p, ratio AS score FROM near JOIN ratios USING (a, b) WHERE ratio >= 0.55")
 step("s_name", ["sn_rank", "sn_post", "sn_norm"], gather("sn", 3000))
 step("s_addr", ["sa_rank", "sa_post", "sa_norm"], gather("sa", 1500))
-_PARTS = {1: "s_norm", 2: "s_core", 4: "s_name", 8: "s_addr", 32: "s_country"}
+_PARTS = {1: "s_norm", 2: "s_core", 4: "s_name", 8: "s_addr", 16: "s_sn", 32: "s_country"}
 step("s_all", list(_PARTS.values()), " UNION ALL ".join(f"SELECT q, p, score, {b} AS bit FROM {t}" for b, t in _PARTS.items()))
 _RULE = " + ".join(f"CASE WHEN mask & {C.SCALE_BITS[s]} <> 0 THEN {w} ELSE 0 END" for s, w in C.STRATEGY_WEIGHTS.items())
 step("s_union", ["s_all"], f"SELECT q, p, mask, CAST({_RULE} AS DOUBLE) AS rule_score, content_score FROM (SELECT q, p, CAST(bit_or(bit) AS INTEGER) AS mask, max(score) AS content_score FROM s_all GROUP BY q, p)")
 step("cand", ["s_union"], "SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY rule_score DESC, round(content_score, 10) DESC, p) - 1 AS INTEGER) AS rank FROM s_union")
 step("candi", ["cand", "q", "p"], "SELECT cand.*, q.entity_id AS entity, p.entity_id AS match_id FROM cand JOIN q ON cand.q = q.q JOIN p ON cand.p = p.p")
-_LPARTS = {1: "l_norm", 2: "l_core", 4: "token_name", 16: "address_token", 32: "country_aware"}
+_LPARTS = {1: "l_norm", 2: "l_core", 4: "token_name", 8: "tfidf_name", 16: "address_token", 32: "country_aware"}
 step("l_all", list(_LPARTS.values()), " UNION ALL ".join(f"SELECT q, p, score, {b} AS bit FROM {t}" for b, t in _LPARTS.items()))
 step("scored", ["token_name", "q", "p"], "SELECT q.entity_id AS entity, p.entity_id AS match_id, round(score, 2) AS score FROM token_name t JOIN q ON t.q = q.q JOIN p ON t.p = p.p")
 step("told", ["scored", "truth"], "SELECT s.*, CASE WHEN t.entity IS NULL THEN 0 ELSE 1 END AS label FROM scored s LEFT JOIN truth t USING (entity, match_id)")
@@ -253,13 +276,17 @@ step("per", ["told", "sizes"], f"SELECT *, {F05} AS f05 FROM (SELECT s.entity, n
 MACRO = """round(avg(f05), 6) AS f05, round(coalesce(avg(tp / n_pred) FILTER (n_pred > 0), 1), 6) AS macro_precision, round(coalesce(avg(tp / n_gt) FILTER (n_gt > 0), 1), 6) AS macro_recall,
   CAST(sum(n_pred) AS BIGINT) AS n_predicted, count(*) FILTER (n_pred > 0) AS entities_with_predictions, count(*) FILTER (n_gt = 0 AND n_pred > 0) AS singleton_violations,
   CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(n_pred - tp) AS BIGINT) AS fp, CAST(sum(n_gt - tp) AS BIGINT) AS fn"""
-step("cuts", [], "SELECT round(0.01 + i * 0.01, 10) AS threshold FROM range(99) r(i)")
+step("cuts", [], "SELECT CAST(round(0.01 + i * 0.01, 10) AS DOUBLE) AS threshold FROM range(99) r(i)")
 step("at_cut", ["told", "sizes", "cuts"], f"SELECT *, {F05} AS f05 FROM (SELECT threshold, s.entity, n_gt, count(t.entity) AS n_pred, coalesce(sum(label), 0) AS tp FROM sizes s CROSS JOIN cuts LEFT JOIN told t ON t.entity = s.entity AND t.score >= threshold GROUP BY ALL)")
 step("bps", ["told"], "SELECT DISTINCT score AS threshold FROM told")
 step("at_bp", ["told", "sizes", "bps"], f"SELECT *, {F05} AS f05 FROM (SELECT threshold, s.entity, n_gt, count(t.entity) AS n_pred, coalesce(sum(label), 0) AS tp FROM sizes s CROSS JOIN bps LEFT JOIN told t ON t.entity = s.entity AND t.score >= threshold GROUP BY ALL)")
 step("points", ["at_bp"], "SELECT threshold, avg(f05) AS f05, coalesce(avg(tp / n_pred) FILTER (n_pred > 0), 1) AS macro_precision, coalesce(avg(tp / n_gt) FILTER (n_gt > 0), 1) AS macro_recall, CAST(sum(n_pred) AS BIGINT) AS n_predicted, CAST(sum(tp) AS BIGINT) AS tp FROM at_bp GROUP BY threshold")
+step("cscored", ["candi", "truth"], "SELECT c.entity, c.match_id, round(content_score, 6) AS score, CASE WHEN t.entity IS NULL THEN 0 ELSE 1 END AS label FROM candi c LEFT JOIN truth t USING (entity, match_id)")
+step("cbps", ["cscored"], "SELECT threshold FROM (SELECT score AS threshold, row_number() OVER (ORDER BY score) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT score FROM cscored)) WHERE n <= 400 OR i = n - 1 OR i IN (SELECT CAST(floor(k * ((n - 1) / 399)) AS BIGINT) FROM range(399) r(k))")
+step("at_cbp", ["cscored", "sizes", "cbps"], f"SELECT *, {F05} AS f05 FROM (SELECT threshold, s.entity, n_gt, count(t.entity) AS n_pred, coalesce(sum(label), 0) AS tp FROM sizes s CROSS JOIN cbps LEFT JOIN cscored t ON t.entity = s.entity AND t.score >= threshold GROUP BY ALL)")
+step("spaced_points", ["at_cbp"], "SELECT threshold, avg(f05) AS f05, coalesce(avg(tp / n_pred) FILTER (n_pred > 0), 1) AS macro_precision, coalesce(avg(tp / n_gt) FILTER (n_gt > 0), 1) AS macro_recall, CAST(sum(n_pred) AS BIGINT) AS n_predicted, CAST(sum(tp) AS BIGINT) AS tp FROM at_cbp GROUP BY threshold")
 step("hits", ["truth", "candi"], "SELECT t.entity, t.match_id, mask, rank FROM truth t LEFT JOIN candi c USING (entity, match_id)")
-step("fpairs", ["cand"], "SELECT q, p FROM cand WHERE rank < 12")
+step("fpairs", ["cand"], f"SELECT q, p FROM cand WHERE rank < {CAP}")
 _SIDE = ("business_name", "name_norm", "name_core", "addr_norm", "country_norm")
 step("withp", ["rows_", "places"], "SELECT r.*, pincode, house_number, city, state FROM rows_ r JOIN places USING (doc_id)")
 step(
@@ -344,7 +371,47 @@ def selected(how: S.Selection, source: str = "cand") -> str:
     return f"SELECT q, p, mask, rank FROM ({d}) WHERE (keep AND CASE WHEN {survivors} THEN left_ <= {how.cap} ELSE rank < {how.cap} END) OR NOT some_base"
 
 
-OPEN = "(SELECT doc_id, lang, substr(text, 1, {n}) AS v FROM documents)"
+def _weights() -> str:
+    return " UNION ALL ".join(f"SELECT '{s}' AS strategy, {b} AS bit, count(*) FILTER (mask = {b}) + 0.15 * count(*) FILTER (mask & {b} <> 0) AS worth FROM hits" for s, b in C.SCALE_BITS.items())
+
+
+# quotas of the rule: slots in proportion to worth, four at least, none without worth; with an exact hit some go from names to addresses
+step("worth", ["hits"], _weights())
+step(
+    "slots",
+    ["worth"],
+    f"""SELECT *, greatest(4, a - n) AS shift FROM (SELECT coalesce(max(slot) FILTER (strategy = 'address_token'), 0) AS a, coalesce(max(slot) FILTER (strategy = 'name_token'), 0) AS n,
+  CAST(sum(CASE WHEN worth > 0 THEN 0 ELSE bit END) AS INTEGER) AS gone, {', '.join(f"max(slot) FILTER (strategy = '{s}') AS s_{s}" for s in C.SCALE_BITS)}
+  FROM (SELECT *, CASE WHEN worth > 0 THEN greatest(4, round_even({CAP} * worth / (SELECT sum(worth) FROM worth), 0)) END AS slot FROM worth))""",
+)
+
+
+def adaptive_selected(cap: int, union: bool) -> str:
+    """Rows that measured quotas keep: both quota sets over the whole query set, then one of them by query."""
+    every = sum(C.SCALE_BITS.values())
+    counts = ", ".join(f"sum(CASE WHEN mask & {b} <> 0 THEN 1 ELSE 0 END) OVER w AS n_{s}" for s, b in C.SCALE_BITS.items())
+    a = f"SELECT *, NOT (mask & gone <> 0 AND mask & ({every} - gone) = 0) AS base, bool_or(mask & 3 <> 0) OVER (PARTITION BY q) AS exact_, {counts} FROM cand, slots WINDOW w AS (PARTITION BY q ORDER BY rank ROWS UNBOUNDED PRECEDING)"
+    quota = {s: f"s_{s}" for s in C.SCALE_BITS}
+    moved = quota | {"address_token": "a + shift", "name_token": "greatest(4, n - shift)"}
+    allow = lambda of: "mask & 3 <> 0 OR " + " OR ".join(f"coalesce(mask & {C.SCALE_BITS[s]} <> 0 AND n_{s} <= {k}, FALSE)" for s, k in of.items())
+    b = f"SELECT *, ({allow(quota)}) AS allow_0, ({allow(moved)}) AS allow_1 FROM ({a})"
+    c = f"SELECT *, bool_or(base) OVER () AS some_base, base AND (allow_0 OR NOT bool_or(allow_0) OVER ()) AS keep_0, base AND (allow_1 OR NOT bool_or(allow_1) OVER ()) AS keep_1 FROM ({b})"
+    d = f"SELECT *, CASE WHEN exact_ THEN keep_1 ELSE keep_0 END AS keep FROM ({c})"
+    e = f"SELECT *, sum(CASE WHEN keep THEN 1 ELSE 0 END) OVER (PARTITION BY q ORDER BY rank ROWS UNBOUNDED PRECEDING) AS left_ FROM ({d})"
+    return f"SELECT q, p, mask, rank FROM ({e}) WHERE keep AND {'left_ <= ' if union else 'rank < '}{cap} OR NOT some_base"
+
+
+def configurations(adaptive: bool = True) -> str:
+    """Measures of every named configuration over the union."""
+    named = [(c.name, c.cap, selected(c) if c.quotas or c.exclude_only else f"SELECT q, p, mask, rank FROM cand WHERE rank < {c.cap}") for c in S.CONFIGURATIONS.values()]
+    if adaptive:
+        named += [("D", 100, adaptive_selected(100, False)), ("D2", 100, adaptive_selected(100, True))]
+    one = """SELECT '{name}' AS name, {cap} AS cap, (SELECT count(*) FROM ({rows})) AS candidates, count(*) FILTER (f > 0) / count(*) AS query_recall, sum(f) / sum(n) AS pair_recall, count(*) FILTER (f = n) / count(*) AS all_pairs_recall
+  FROM (SELECT h.entity, count(*) AS n, count(k.match_id) AS f FROM hits h LEFT JOIN (SELECT c.entity, c.match_id FROM candi c JOIN ({rows}) USING (q, p)) k USING (entity, match_id) GROUP BY h.entity)"""
+    return " UNION ALL ".join(one.format(name=n, cap=cap, rows=rows) for n, cap, rows in named)
+
+
+TEXTS = "(SELECT doc_id, lang, text AS v FROM documents)"
 
 
 def _stack(pairs: list[tuple[str, str]], source: str, names: tuple[str, ...]) -> str:
@@ -359,7 +426,7 @@ def oracle_sql() -> dict[str, str]:
     prof = "count(*) AS n_rows, count(*) FILTER ({c} IS NULL) AS nulls, round(count(*) FILTER ({c} IS NULL) / count(*), 6) AS null_fraction, count(*) FILTER (trim({c}, ' ') = '') AS blanks, count(DISTINCT {c}) AS n_distinct"
     out["scan_profile"] = (["recs"], _stack([(c, prof.format(c=c)) for c in raw], "recs", ("column",)).replace("AS column", 'AS "column"'))
     out["country_distribution"] = (["recs"], "SELECT src, country, count(*) AS n FROM recs GROUP BY ALL")
-    out["open_set_countries"] = (["recs"], "SELECT DISTINCT country FROM recs WHERE src > 0 EXCEPT SELECT country FROM recs WHERE src = 0 AND doc_id < 9")
+    out["open_set_countries"] = (["recs"], " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS value FROM (SELECT {c} FROM recs WHERE src > 0 EXCEPT SELECT {c} FROM recs WHERE src = 0)" for c in ("country", "business_name")))
     dup = [("row", raw), ("id", raw[:1]), ("name", raw[1:2]), ("name_address", raw[1:3])]
     out["duplicate_report"] = (["recs"], " UNION ALL ".join(f"SELECT '{k}' AS keys, count(*) AS groups, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS repeats FROM (SELECT count(*) AS n FROM recs GROUP BY {', '.join(c)} HAVING count(*) > 1)" for k, c in dup))
     lens = f"min(length({{c}})) AS shortest, {pct('length({c})', 0.25, 'p25')}, {pct('length({c})', 0.5, 'median')}, round(avg(length({{c}})), 6) AS mean, {pct('length({c})', 0.75, 'p75')}, {pct('length({c})', 0.95, 'p95')}, {pct('length({c})', 0.99, 'p99')}, max(length({{c}})) AS longest"
@@ -376,7 +443,7 @@ def oracle_sql() -> dict[str, str]:
     out["part_name_blocks"] = ([], blocks.format(k="p_name", t="part"))
     out["customer_nation_profile"] = ([], "SELECT r_name, n_name, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
     out["pool_union"] = (["recs"], "SELECT entity_id, business_name, pos, 'S' || CAST(src + 1 AS VARCHAR) AS source FROM recs WHERE src > 0")
-    o = OPEN.format(n=120)
+    o = TEXTS
     out["normalize_name_norm"] = ([], f"SELECT doc_id, {name('v')} AS name_norm FROM {o}")
     out["normalize_name_core"] = ([], f"SELECT doc_id, {core('v')} AS name_core FROM {o}")
     out["normalize_address"] = ([], f"SELECT doc_id, {address('v')} AS addr_norm FROM {o}")
@@ -384,13 +451,13 @@ def oracle_sql() -> dict[str, str]:
     out["name_tokens"] = ([], f"SELECT doc_id, array_to_string({ascii_tokens('c')}, '|') AS name_tokens, array_to_string({ascii_tokens('n')}, '|') AS content_tokens FROM (SELECT doc_id, {core('v')} AS c, {name('v')} AS n FROM {o})")
     out["address_core"] = ([], f"SELECT doc_id, {address_core('n')} AS addr_core, {address_core('n', True)} AS store_addr_core FROM (SELECT doc_id, {address('v')} AS n FROM {o})")
     out["address_components"] = (["shapes"], "SELECT * FROM shapes")
-    out["digit_runs"] = ([], f"SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(v || ' ' || CAST(doc_id AS VARCHAR), '\\p{{Nd}}+'))), '|') AS runs FROM {OPEN.format(n=400)}")
+    out["digit_runs"] = ([], f"SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(v || ' ' || CAST(doc_id AS VARCHAR), '\\p{{Nd}}+'))), '|') AS runs FROM {o}")
     out["tokenize_generic"] = ([], f"SELECT doc_id, array_to_string({blocking('n', True)}, '|') AS tokens FROM (SELECT doc_id, {address('v')} || ' near main road' AS n FROM {o})")
-    out["char_ngram_counts"] = ([], f"SELECT doc_id, CAST(len({_grams3('n')}) AS INTEGER) AS n_grams, CAST(len({word_grams('n', 2, 5)}) AS INTEGER) AS n_word_grams FROM (SELECT doc_id, {name('v')} AS n FROM {OPEN.format(n=60)})")
+    out["char_ngram_counts"] = ([], f"SELECT doc_id, CAST(len({_grams3('n')}) AS INTEGER) AS n_grams, CAST(len({word_grams('n', 2, 5)}) AS INTEGER) AS n_word_grams FROM (SELECT doc_id, {name('v')} AS n FROM {o})")
     out["truth_pairs"] = (["truth"], "SELECT entity AS s1_id, match_id FROM truth")
     out["truth_wide_parse"] = (["truth"], "SELECT DISTINCT entity, trim(unnest(string_split(ids, ',')), ' ') AS match_id FROM (SELECT entity, string_agg(match_id, ',' ORDER BY match_id) AS ids FROM truth GROUP BY entity)")
     out["truth_long_parse"] = (["truth"], "SELECT DISTINCT entity, match_id FROM truth")
-    out["truth_verified"] = (["truth"], "SELECT entity, match_id FROM truth WHERE entity LIKE 'S1-1%'")
+    out["truth_verified"] = (["truth", "scored"], "SELECT entity, match_id FROM truth WHERE entity IN (SELECT entity FROM scored WHERE score >= 0.6)")
     out["valid_match_filter"] = (["truth", "recs"], "SELECT entity, match_id FROM truth WHERE match_id IN (SELECT entity_id FROM recs WHERE src = 1)")
     out["cardinality_histogram"] = (["sizes"], "SELECT n_gt AS n_matches, count(*) AS entities FROM sizes GROUP BY 1")
     out["cardinality_summary"] = (["sizes"], f"SELECT count(*) AS entities, CAST(sum(n_gt) AS BIGINT) AS pairs, count(*) FILTER (n_gt = 0) AS singletons, {', '.join(pct('n_gt', p, n) for p, n in ((0.25, 'p25'), (0.5, 'p50'), (0.75, 'p75'), (0.9, 'p90'), (0.99, 'p99')))} FROM sizes")
@@ -406,35 +473,33 @@ def oracle_sql() -> dict[str, str]:
     for key, table in (("block_token_name", "token_name"), ("block_address_token", "address_token"), ("block_country_aware", "country_aware"), ("block_char_tfidf", "tfidf_name"), ("gather_address", "s_addr")):
         out[key] = ([table], f"SELECT q, p, {r('score')} FROM {table}")
     out["block_country_topk"] = (["s_country"], "SELECT * FROM s_country")
-    out["gather_budgeted"] = (["sn_rank", "sn_post", "sn_norm"], f"SELECT q, p, {r('score')} FROM ({gather('sn', 60)})")
-    start = "hex(encode(name_core))[1:12]"
-    out["block_prefix_window"] = (["q", "p"], f"SELECT a.q, b.p FROM (SELECT q, {start} AS s FROM q WHERE name_core <> '') a JOIN (SELECT p, {start} AS s FROM p WHERE name_core <> '' QUALIFY row_number() OVER (PARTITION BY {start} ORDER BY hex(encode(name_core)), p) <= 11) b USING (s)")
+    out["gather_budgeted"] = (["sn_rank", "sn_post", "sn_norm"], f"SELECT q, p, {r('score')} FROM ({gather('sn', 3000)})")
+    out["block_prefix_window"] = (["near"], "SELECT q, p FROM near")
+    out["block_sorted_neighbourhood"] = (["s_sn"], f"SELECT q, p, {r('score')} FROM s_sn")
     selfcos = "SELECT a.p AS q, b.p AS p, sum(a.w * b.w) AS score FROM ln_wp a JOIN ln_wp b USING (term) WHERE a.p <> b.p GROUP BY ALL"
     out["self_search"] = (["ln_wp"], f"SELECT q, p, {r('score')} FROM ({top('(' + selfcos + ')', 3)})")
     out["resolve_ids"] = (["recs"], "SELECT a.entity_id, coalesce(b.pos, -1) AS pos FROM (SELECT CASE WHEN doc_id % 4 = 0 THEN entity_id || '?' ELSE entity_id END AS entity_id FROM recs) a LEFT JOIN (SELECT entity_id, min(pos) AS pos FROM recs WHERE src > 0 GROUP BY 1) b USING (entity_id)")
-    out["gather_rows"] = (["recs"], "SELECT i AS at, (i * 37) % 101 AS rowid, entity_id, business_name FROM range(200) r(i) LEFT JOIN (SELECT pos, entity_id, business_name FROM recs WHERE src = 1) ON pos = (i * 37) % 101")
-    out["range_read"] = (["recs"], "SELECT pos AS rowid, entity_id FROM recs WHERE src = 2 AND pos % 2 = 0")
+    out["gather_rows"] = (["recs"], "SELECT d.doc_id AS at, CAST(d.doc_id // 2 AS BIGINT) AS rowid, entity_id, business_name FROM documents d LEFT JOIN (SELECT pos, entity_id, business_name FROM recs WHERE src = 1) ON pos = d.doc_id // 2")
+    out["range_read"] = (["recs"], "SELECT pos AS rowid, entity_id FROM recs WHERE src = 2")
     out["store_rows"] = (["withp"], f"SELECT entity_id, name_norm, name_core, addr_norm, {address_core('addr_norm', True)} AS addr_core, country_norm AS country, pincode, house_number, city, state FROM withp")
-    out["union_legacy"] = (["l_all"], f"SELECT q, p, CAST(bit_or(bit) AS INTEGER) AS mask, round(max(score), 6) AS score FROM l_all GROUP BY q, p")
-    two = "SELECT q, p, CAST(bit_or(bit) AS INTEGER) AS mask, max(score) AS score FROM (SELECT *, 4 AS bit FROM token_name UNION ALL SELECT *, 16 FROM address_token) GROUP BY q, p"
-    out["cap_legacy"] = (["token_name", "address_token"], f"SELECT q, p, mask, {r('score')} FROM (SELECT *, count(*) OVER (PARTITION BY q) AS n, row_number() OVER (PARTITION BY q ORDER BY round(score, 10) DESC, p) AS rn FROM ({two})) WHERE n <= 10 OR rn <= 10")
-    out["union_scale"] = (["cand"], f"SELECT q, p, mask, rule_score, {r('content_score')}, rank FROM cand")
-    out["cap_scale"] = (["cand"], f"SELECT q, p, mask, rule_score, {r('content_score')} FROM cand WHERE rank < 20")
-    country_three = {"name_token": 10, "address_token": 5, "country_token": 3}
-    out["quota_rank"] = (["cand"], selected(S.Selection(cap=40, quotas=country_three)))
-    out["quota_union"] = (["cand"], selected(S.Selection(cap=20, quotas=country_three, mode="union")))
-    out["exclude_only"] = (["cand"], selected(S.Selection(cap=15, exclude_only=("country_token",))))
-    out["quota_exclude"] = (["cand"], selected(S.Selection(cap=15, quotas={"name_token": 4, "address_token": 8}, exclude_only=("country_token", "exact_normalized"), mode="union")))
-    base, with_exact = (S.Selection("adaptive", 20, {"name_token": n, "address_token": a}, ("country_token",), "union") for n, a in ((8, 12), (4, 16)))
-    split = "(SELECT * FROM cand WHERE q {x} IN (SELECT q FROM cand WHERE mask & 3 <> 0))"
-    out["adaptive_quota"] = (["cand"], f"{selected(base, split.format(x='NOT'))} UNION ALL {selected(with_exact, split.format(x=''))}")
+    whole = "SELECT q, p, CAST(bit_or(bit) AS INTEGER) AS mask, max(score) AS score FROM l_all GROUP BY q, p"
+    capped = "SELECT q, p, mask, round(score, 6) AS score FROM (SELECT *, count(*) OVER (PARTITION BY q) AS n, row_number() OVER (PARTITION BY q ORDER BY round(score, 10) DESC, p) AS rn FROM ({whole})) WHERE n <= {cap} OR rn <= {cap}"
+    out["union_legacy"] = (["l_all"], f"SELECT q, p, mask, {r('score')} FROM ({whole})")
+    out["union_legacy_all"] = (["l_all"], capped.format(whole=whole, cap=400))
+    out["cap_legacy"] = (["l_all"], capped.format(whole=whole, cap=10))
+    out["union_scale_all"] = (["cand"], f"SELECT q, p, mask, rule_score, {r('content_score')}, rank FROM cand")
+    out["union_scale"] = (["cand"], f"SELECT q, p, mask, rule_score, {r('content_score')}, rank FROM cand WHERE rank < {CAP}")
+    out["cap_scale"] = (["cand"], f"SELECT q, p, mask, rule_score, {r('content_score')} FROM cand WHERE rank < 100")
+    for key, configuration in (("quota_rank", "C"), ("quota_union", "C2"), ("exclude_only", "E"), ("quota_exclude", "G2")):
+        out[key] = (["cand"], selected(S.CONFIGURATIONS[configuration]))
+    out["adaptive_quota"] = (["cand", "hits", "worth", "slots"], adaptive_selected(100, True))
     labels = " || ".join(f"CASE WHEN mask & {C.SCALE_BITS[s]} <> 0 THEN '+{s}' ELSE '' END" for s in C.REPORT_ORDER)
     out["strategy_labels"] = (["cand"], f"SELECT substr({labels}, 2) AS strategies, count(*) AS n FROM cand GROUP BY 1")
     per_query = "(SELECT u.entity, count(c.entity) AS n FROM universe u LEFT JOIN candi c USING (entity) GROUP BY u.entity)"
     out["candidate_stats"] = (["candi", "universe"], f"SELECT count(*) AS queries, CAST(sum(n) AS BIGINT) AS candidates, round(avg(n), 6) AS mean, {pct('n', 0.5, 'median')}, {pct('n', 0.95, 'p95')}, {pct('n', 0.99, 'p99')}, max(n) AS most, count(*) FILTER (n = 0) AS empty FROM {per_query}")
     out["candidate_histogram"] = (["candi", "universe"], f"SELECT n AS n_candidates, count(*) AS queries FROM {per_query} GROUP BY 1")
     out["strategy_counts"] = (["cand"], " UNION ALL ".join(f"SELECT '{s}' AS strategy, count(*) FILTER (mask & {b} <> 0) AS candidates FROM cand" for s, b in C.SCALE_BITS.items()))
-    hit50 = "(SELECT entity, match_id, CASE WHEN rank < 50 THEN mask END AS mask, count(*) OVER (PARTITION BY entity) AS n_gt FROM hits)"
+    hit50 = f"(SELECT entity, match_id, CASE WHEN rank < {CAP} THEN mask END AS mask, count(*) OVER (PARTITION BY entity) AS n_gt FROM hits)"
     kinds = [
         f"SELECT 'overall' AS kind, 'all' AS item, count(*) AS pairs, count(mask) AS recovered FROM {hit50}",
         f"SELECT 'entities', 'fully_recalled', count(*), count(*) FILTER (m = n) FROM (SELECT entity, count(*) AS n, count(mask) AS m FROM {hit50} GROUP BY entity)",
@@ -444,7 +509,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT 'cardinality', CAST(n_gt AS VARCHAR), count(*), count(mask) FROM {hit50} GROUP BY 2",
     ]
     out["candidate_recall"] = (["hits"], f"SELECT kind, item, pairs, recovered, round(recovered / pairs, 6) AS recall FROM ({' UNION ALL '.join(kinds)})")
-    known = "(SELECT entity, CASE WHEN CAST(split_part(match_id, '-', 2) AS BIGINT) % 5 > 0 THEN 1 END AS known, mask FROM hits)"
+    known = "(SELECT entity, CASE WHEN match_id LIKE 'S2-%' THEN 1 END AS known, mask FROM hits)"
     out["scale_recall"] = (["hits"], f"SELECT count(*) AS labelled, CAST(sum(n) AS BIGINT) AS pairs, CAST(sum(f) AS BIGINT) AS found, round(count(*) FILTER (f > 0) / count(*), 6) AS query_recall, round(sum(f) / sum(n), 6) AS pair_recall, round(count(*) FILTER (n > 0 AND f = n) / count(*), 6) AS all_pairs_recall FROM (SELECT entity, count(known) AS n, count(mask) FILTER (known = 1) AS f FROM {known} GROUP BY entity)")
     out["attribution"] = (
         ["hits", "cand"],
@@ -452,7 +517,15 @@ def oracle_sql() -> dict[str, str]:
     )
     finder = "CASE mask " + " ".join(f"WHEN {b} THEN '{s}'" for s, b in C.SCALE_BITS.items()) + " ELSE 'several' END"
     out["rank_diagnostics"] = (["hits"], f"SELECT {finder} AS finder, count(*) AS pairs, CAST(floor(quantile_cont(rank, 0.5)) AS BIGINT) AS median_rank, CAST(floor(quantile_cont(rank, 0.9)) AS BIGINT) AS p90_rank, count(*) FILTER (rank < 50) AS recovered_at_50, count(*) FILTER (rank < 100) AS recovered_at_100, count(*) FILTER (rank < 200) AS recovered_at_200 FROM hits WHERE mask IS NOT NULL GROUP BY 1")
-    out["missing_pairs"] = (["hits"], "SELECT entity, match_id FROM hits WHERE rank IS NULL OR rank >= 5")
+    out["missing_pairs"] = (["hits"], f"SELECT entity, match_id FROM hits WHERE rank IS NULL OR rank >= {CAP}")
+    told = configurations()
+    out["configuration_recall"] = (["cand", "candi", "hits", "worth", "slots"], f"SELECT name, cap, candidates, {r('query_recall', 'pair_recall', 'all_pairs_recall')} FROM ({told})")
+    quotas = _in(n for n, c in S.CONFIGURATIONS.items() if c.quotas)
+    out["frontier"] = (
+        ["cand", "candi", "hits"],
+        f"""WITH_MORE told AS ({configurations(False)}) SELECT t.name, t.candidates, round(t.pair_recall, 6) AS pair_recall, c.cap AS cheapest_cap, round(1 - t.candidates / c.candidates, 6) AS saved FROM told t
+  LEFT JOIN told c ON c.name LIKE 'cap_%' AND c.pair_recall >= t.pair_recall WHERE t.name IN {quotas} QUALIFY row_number() OVER (PARTITION BY t.name ORDER BY c.candidates, c.cap) = 1""",
+    )
     out["features_native"] = (["native"], "SELECT q, p, " + r(*native_features()) + " FROM native")
     out["features_cosine"] = (["fpairs", "cosn", "cosa"], "SELECT f.q, f.p, round(coalesce(n.v, 0), 6) AS name_tfidf_cosine, round(coalesce(a.v, 0), 6) AS address_tfidf_cosine FROM fpairs f LEFT JOIN cosn n USING (q, p) LEFT JOIN cosa a USING (q, p)")
     clipped = "SELECT x.q, x.p, least(greatest(coalesce(cn.v, 0), 0), 1) AS n, least(greatest(coalesce(ca.v, 0), 0), 1) AS a, name_exact_match > 0 AS same, address_exact_match, pincode_conflict, house_number_conflict FROM native x LEFT JOIN cosn cn USING (q, p) LEFT JOIN cosa ca USING (q, p)"
@@ -461,11 +534,20 @@ def oracle_sql() -> dict[str, str]:
         f"""SELECT q, p, round(sqrt(n * a), 6) AS name_address_geometric_score, round((n + a) / 2, 6) AS name_address_arithmetic_score, round(least(n, a), 6) AS name_address_min_score, round(greatest(n, a), 6) AS name_address_max_score,
   round(abs(n - a), 6) AS name_address_score_gap, {_b("same AND address_exact_match = 0")} AS exact_name_with_address_conflict, {_b("same AND pincode_conflict > 0")} AS exact_name_with_pincode_conflict, {_b("same AND house_number_conflict > 0")} AS exact_name_with_house_number_conflict FROM ({clipped})""",
     )
-    near = f"SELECT x.q, y.p, x.name_core AS a, y.name_core AS b FROM (SELECT *, {start} AS s FROM q WHERE name_core <> '') x JOIN (SELECT *, {start} AS s FROM p WHERE name_core <> '' QUALIFY row_number() OVER (PARTITION BY {start} ORDER BY hex(encode(name_core)), p) <= 10) y USING (s)"
-    dp = "list_reduce(string_split(a, ''), lambda row, c: list_reduce(range(1, length(b) + 1), lambda done, j: done || [CASE WHEN substr(b, j, 1) = c THEN row[j] + 1 ELSE greatest(row[j + 1], done[-1]) END], [0]), list_transform(range(0, length(b) + 1), lambda i: 0))[-1]"
-    out["features_indel_native"] = (["q", "p"], f"SELECT q, p, round(2.0 * {dp} / (length(a) + length(b)), 6) AS ratio FROM ({near})")
-    out["features_jaro_winkler"] = (["q", "p"], f"SELECT q, p, round(jaro_winkler_similarity(a, b), 6) AS similarity FROM ({near})")
-    out["pair_labels"] = (["candi", "truth"], "SELECT c.entity AS s1_id, c.match_id, CASE WHEN t.entity IS NULL THEN 0 ELSE 1 END AS label FROM candi c LEFT JOIN truth t USING (entity, match_id) WHERE rank < 20")
+    out["features_indel_native"] = (["near", "ratios"], f"SELECT q, p, {r('ratio')} FROM near JOIN ratios USING (a, b)")
+    in_order = lambda x: f"array_to_string(list_sort({_tokens(x)}), ' ')"
+    out["features_indel"] = (
+        ["near", "ratios"],
+        f"""SELECT q, p, round(x.ratio, 6) AS ratio, round(y.ratio, 6) AS sorted_ratio FROM near JOIN ratios x USING (a, b)
+  JOIN (SELECT a, b, {indel('c', 'd')} AS ratio FROM (SELECT DISTINCT a, b, {in_order('a')} AS c, {in_order('b')} AS d FROM near)) y USING (a, b)""",
+    )
+    words = "SELECT a, b, list_sort(list_distinct(x)) AS x, list_sort(list_distinct(y)) AS y FROM (SELECT DISTINCT a, b, string_split(a, ' ') AS x, string_split(b, ' ') AS y FROM near)"
+    parts = f"SELECT a, b, list_filter(x, lambda t: list_contains(y, t)) AS both_, list_filter(x, lambda t: NOT list_contains(y, t)) AS rx, list_filter(y, lambda t: NOT list_contains(x, t)) AS ry FROM ({words})"
+    sides = f"SELECT a, b, len(both_) > 0 AS shares, len(rx) > 0 AND len(ry) > 0 AS differ, array_to_string(both_, ' ') AS base, array_to_string(both_ || rx, ' ') AS l, array_to_string(both_ || ry, ' ') AS r FROM ({parts})"
+    ratio = f"CASE WHEN shares AND NOT differ THEN 1.0 WHEN shares THEN greatest({indel('l', 'r')}, {indel('base', 'l')}, {indel('base', 'r')}) ELSE {indel('l', 'r')} END"
+    out["features_token_set"] = (["near"], f"SELECT q, p, round(z.ratio, 6) AS ratio FROM near JOIN (SELECT a, b, {ratio} AS ratio FROM ({sides})) z USING (a, b)")
+    out["features_jaro_winkler"] = (["near"], "SELECT q, p, round(jaro_winkler_similarity(a, b), 6) AS similarity FROM near")
+    out["pair_labels"] = (["candi", "truth"], "SELECT c.entity AS s1_id, c.match_id, CASE WHEN t.entity IS NULL THEN 0 ELSE 1 END AS label FROM candi c LEFT JOIN truth t USING (entity, match_id) WHERE rank < " + str(CAP))
     means = ("name_jaccard", "address_jaccard", "country_exact_match", "name_length_ratio")
     out["class_means"] = (["native", "q", "p", "truth"], f"SELECT label, {', '.join(f'round(avg({c}), 6) AS {c}' for c in means)} FROM (SELECT native.*, CASE WHEN t.entity IS NULL THEN 0 ELSE 1 END AS label FROM native JOIN q ON native.q = q.q JOIN p ON native.p = p.p LEFT JOIN truth t ON t.entity = q.entity_id AND t.match_id = p.entity_id) GROUP BY label")
     out["constant_features"] = (["native"], "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, round(stddev_pop({c}), 6) AS deviation FROM native" for c in ("name_both_missing", "country_missing", "name_jaccard", "country_exact_match")) + ") WHERE deviation < 1e-9")
@@ -474,7 +556,8 @@ def oracle_sql() -> dict[str, str]:
     out["threshold_sweep"] = (["at_cut"], f"SELECT round(threshold, 6) AS threshold, {MACRO} FROM at_cut GROUP BY threshold")
     point = f"{r('threshold', 'f05', 'macro_precision', 'macro_recall')}, n_predicted, tp"
     out["breakpoint_sweep"] = (["points"], f"SELECT {point} FROM points")
-    out["best_threshold"] = (["points"], f"SELECT {point} FROM points WHERE f05 >= (SELECT max(f05) FROM points) - 1e-9 ORDER BY points.macro_precision DESC, points.threshold DESC LIMIT 1")
+    out["best_threshold"] = (["points"], f"SELECT {point} FROM points WHERE round((SELECT max(f05) FROM points) - points.f05, 10) <= 1e-9 ORDER BY round(points.macro_precision, 10) DESC, points.threshold DESC LIMIT 1")
+    out["breakpoint_sweep_spaced"] = (["spaced_points"], f"SELECT {point} FROM spaced_points")
     out["error_buckets"] = (
         ["told", "sizes"],
         """SELECT *, round(blocking_misses / true_pairs, 6) AS blocking_rate, round(model_misses / candidate_positives, 6) AS model_rate, round(coalesce(false_merges / nullif(predictions, 0), 0), 6) AS false_merge_rate, round(singleton_violations / singletons, 6) AS singleton_rate FROM (
@@ -490,11 +573,12 @@ def oracle_sql() -> dict[str, str]:
     emit = "SELECT u.entity AS source1_id, coalesce(string_agg(s.match_id, ',' ORDER BY s.match_id), '') AS {c} FROM universe u LEFT JOIN (SELECT * FROM scored WHERE score >= {t}) s USING (entity) GROUP BY u.entity"
     out["decide_and_emit"] = (["scored", "universe"], emit.format(c="matched_entity_ids", t=0.6))
     out["candidate_pairs_emit"] = (["scored", "universe"], emit.format(c="candidate_entity_ids", t=0))
-    kept = "(SELECT * FROM scored WHERE score >= 0.6 AND entity NOT LIKE '%7')"
+    kept = "(SELECT * FROM scored WHERE score >= 0.6)"
     out["submission_checks"] = (
-        ["scored", "universe", "recs"],
-        f"""SELECT 'missing_entities' AS problem, count(*) AS n FROM universe WHERE entity LIKE '%7' UNION ALL SELECT 'repeated_entities', 0 UNION ALL SELECT 'unknown_entities', 0
-  UNION ALL SELECT 'unknown_matches', count(*) FROM {kept} WHERE match_id NOT IN (SELECT entity_id FROM recs WHERE src = 1) UNION ALL SELECT 'matches_without_candidate', count(*) FROM {kept} WHERE score >= 0.9""",
+        ["scored", "universe", "recs", "address_token", "q", "p"],
+        f"""SELECT 'missing_entities' AS problem, count(*) AS n FROM universe WHERE entity NOT IN (SELECT entity FROM {kept}) UNION ALL SELECT 'repeated_entities', 0 UNION ALL SELECT 'unknown_entities', 0
+  UNION ALL SELECT 'unknown_matches', count(*) FROM {kept} WHERE match_id NOT IN (SELECT entity_id FROM recs WHERE src = 1)
+  UNION ALL SELECT 'matches_without_candidate', count(*) FROM {kept} k ANTI JOIN (SELECT q.entity_id AS entity, p.entity_id AS match_id FROM address_token t JOIN q ON t.q = q.q JOIN p ON t.p = p.p) USING (entity, match_id)""",
     )
     sample = "SELECT q, p, CASE WHEN t.entity IS NULL THEN 0 ELSE 1 END AS label, rank FROM candi c LEFT JOIN truth t USING (entity, match_id)"
     out["training_sample"] = (["candi", "truth"], f"SELECT q, p, label FROM ({sample}) QUALIFY label = 1 OR row_number() OVER (PARTITION BY q, label ORDER BY rank, p) <= 5")

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .config import Config
 from .functions import similarity as SIM
 from .functions import text as T
 from .functions.address import components
@@ -17,10 +18,12 @@ from .operators import select as S
 from .operators import terms
 from .plans import errors, experiment, linkage, metrics, profile, recall
 from .sources import adapter, sinks, store, truth
-from .sources.workspace import kept
+from .sources.workspace import drop_kept, kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+#: The configured cap of candidates a query.
+CAP = Config().scale.max_candidates_per_s1
 RAW = ["entity_id", "business_name", "business_address", "country"]
 
 
@@ -42,41 +45,60 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     return adapter.entity_records(spark, sf)
 
 
-@functools.lru_cache(maxsize=4)
+_SHARED: dict[tuple[str, str, str], object] = {}
+
+
+def shared(step: Callable) -> Callable:
+    """Keeps what several queries start from while the application and its tables stay the same; forget() drops it."""
+
+    @functools.wraps(step)
+    def run(spark: SparkSession, sf: str):
+        key = (spark.sparkContext.applicationId, sf, step.__name__)
+        if key not in _SHARED:
+            for old in [k for k in _SHARED if k[0] != key[0]]:
+                del _SHARED[old]  # of a session that has ended
+            _SHARED[key] = step(spark, sf)
+        return _SHARED[key]
+
+    return run
+
+
+def forget() -> None:
+    """Drop the shared steps and their files: after the tables have changed, or to time a query alone."""
+    for frames in _SHARED.values():
+        for df in frames if isinstance(frames, tuple) else (frames,):
+            drop_kept(df)
+    _SHARED.clear()
+
+
+@shared
 def both(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Normalised records of both sides: one of the two points at which a flow keeps what it has."""
     queries, pool = linkage.sides_of(*adapter.sides(spark, sf))
     return kept(queries, "queries"), kept(pool, "pool")
 
 
-@functools.lru_cache(maxsize=4)
+@shared
 def pairs_of(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(truth pairs, universe)."""
     universe = records(spark, sf).where("src = 0").select(F.col("entity_id").alias("entity"))
     return kept(adapter.truth_pairs(spark, sf).withColumnRenamed("s1_id", "entity"), "truth"), kept(universe, "universe")
 
 
-def scale_ranked(spark: SparkSession, sf: str) -> DataFrame:
-    """Every strategy of the indexed generation but the neighbourhood's ratio floor, which SQL has no word for."""
-    queries, pool = both(spark, sf)
-    return linkage.with_ids(linkage.scale_candidates(queries, pool, cap=0), queries, pool)
-
-
-@functools.lru_cache(maxsize=4)
-def simple_union(spark: SparkSession, sf: str) -> DataFrame:
-    """Ranked union of the strategies that SQL can state (exact keys, tokens, country): the other point that is kept."""
-    queries, pool = both(spark, sf)
-    found = linkage.scale_strategies(queries, pool)
-    del found["sorted_neighbourhood"]
-    return kept(S.ranked(S.union_scale(found)), "union")
+@shared
+def full_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranked union of all strategies of the indexed generation, uncapped: the other point that is kept."""
+    return kept(linkage.scale_candidates(*both(spark, sf), cap=0), "union")
 
 
-def simple_candidates(spark: SparkSession, sf: str) -> DataFrame:
+def candidates(spark: SparkSession, sf: str, cap: int = 0) -> DataFrame:
+    """The union with the ids of both sides, up to a cap if one is given."""
     queries, pool = both(spark, sf)
-    return linkage.with_ids(simple_union(spark, sf), queries, pool)
+    rows = full_union(spark, sf)
+    return linkage.with_ids(rows.where(F.col("rank") < cap) if cap else rows, queries, pool)
 
 
-@functools.lru_cache(maxsize=4)
+@shared
 def exact_scored(spark: SparkSession, sf: str) -> DataFrame:
     """Scored pairs for the metric queries: name token cosine, in hundredths so that scores tie."""
     queries, pool = both(spark, sf)
@@ -84,6 +106,10 @@ def exact_scored(spark: SparkSession, sf: str) -> DataFrame:
     return kept(found.select("entity", "match_id", F.round("score", 2).alias("score")), "scored")
 
 
+def decisions(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.decided(exact_scored(spark, sf), 0.6)
+
+
 # --- profiles -------------------------------------------------------------------------------------------------------
 
 
@@ -99,8 +125,11 @@ def country_distribution(spark, sf):
 
 @query
 def open_set_countries(spark, sf):
+    """Countries, and names, that the pool has and source 1 has not."""
     rows = records(spark, sf)
-    return profile.unseen(rows.where("src > 0"), rows.where("src = 0 and doc_id < 9"), "country")
+    known, pool = rows.where("src = 0"), rows.where("src > 0")
+    new = [profile.unseen(pool, known, c).select(F.lit(c).alias("column"), F.col(c).alias("value")) for c in ("country", "business_name")]
+    return new[0].unionByName(new[1])
 
 
 @query
@@ -177,40 +206,40 @@ def pool_union(spark, sf):
 # --- normalisers ----------------------------------------------------------------------------------------------------
 
 
-def openings(spark, sf, n=120):
-    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", F.substring("text", 1, n).alias("v"))
+def texts(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", F.col("text").alias("v"))
 
 
 @query
 def normalize_name_norm(spark, sf):
-    return openings(spark, sf).select("doc_id", T.normalize_name(F.col("v")).alias("name_norm"))
+    return texts(spark, sf).select("doc_id", T.normalize_name(F.col("v")).alias("name_norm"))
 
 
 @query
 def normalize_name_core(spark, sf):
-    return openings(spark, sf).select("doc_id", T.normalize_name(F.col("v"), core=True).alias("name_core"))
+    return texts(spark, sf).select("doc_id", T.normalize_name(F.col("v"), core=True).alias("name_core"))
 
 
 @query
 def normalize_address(spark, sf):
-    return openings(spark, sf).select("doc_id", T.normalize_address(F.col("v")).alias("addr_norm"))
+    return texts(spark, sf).select("doc_id", T.normalize_address(F.col("v")).alias("addr_norm"))
 
 
 @query
 def normalize_country(spark, sf):
-    return openings(spark, sf).select("doc_id", T.normalize_country(F.when(F.col("doc_id") % 5 == 0, F.lit("N/A")).when(F.col("doc_id") % 5 == 1, F.lit(" Unknown ")).otherwise(F.concat("lang", F.lit("-É")))).alias("country_norm"))
+    return texts(spark, sf).select("doc_id", T.normalize_country(F.when(F.col("doc_id") % 5 == 0, F.lit("N/A")).when(F.col("doc_id") % 5 == 1, F.lit(" Unknown ")).otherwise(F.concat("lang", F.lit("-É")))).alias("country_norm"))
 
 
 @query
 def name_tokens(spark, sf):
     core = T.normalize_name(F.col("v"), core=True)
-    return openings(spark, sf).select("doc_id", F.array_join(T.ascii_tokens(core), "|").alias("name_tokens"), F.array_join(T.ascii_tokens(T.normalize_name(F.col("v"))), "|").alias("content_tokens"))
+    return texts(spark, sf).select("doc_id", F.array_join(T.ascii_tokens(core), "|").alias("name_tokens"), F.array_join(T.ascii_tokens(T.normalize_name(F.col("v"))), "|").alias("content_tokens"))
 
 
 @query
 def address_core(spark, sf):
     norm = T.normalize_address(F.col("v"))
-    return openings(spark, sf).select("doc_id", T.address_core(norm).alias("addr_core"), T.address_core(norm, whole_tokens=True).alias("store_addr_core"))
+    return texts(spark, sf).select("doc_id", T.address_core(norm).alias("addr_core"), T.address_core(norm, whole_tokens=True).alias("store_addr_core"))
 
 
 def shaped_addresses(spark, sf):
@@ -238,17 +267,17 @@ def address_components(spark, sf):
 
 @query
 def digit_runs(spark, sf):
-    return openings(spark, sf, 400).select("doc_id", F.array_join(F.array_sort(T.digit_runs(F.concat("v", F.lit(" "), F.col("doc_id").cast("string")))), "|").alias("runs"))
+    return texts(spark, sf).select("doc_id", F.array_join(F.array_sort(T.digit_runs(F.concat("v", F.lit(" "), F.col("doc_id").cast("string")))), "|").alias("runs"))
 
 
 @query
 def tokenize_generic(spark, sf):
-    return openings(spark, sf).select("doc_id", F.array_join(T.blocking_tokens(F.concat(T.normalize_address(F.col("v")), F.lit(" near main road")), drop_generic=True), "|").alias("tokens"))
+    return texts(spark, sf).select("doc_id", F.array_join(T.blocking_tokens(F.concat(T.normalize_address(F.col("v")), F.lit(" near main road")), drop_generic=True), "|").alias("tokens"))
 
 
 @query
 def char_ngram_counts(spark, sf):
-    return openings(spark, sf, 60).select("doc_id", F.size(T.char_ngrams(T.normalize_name(F.col("v")))).alias("n_grams"), F.size(T.word_ngrams(T.normalize_name(F.col("v")), 2, 5)).alias("n_word_grams"))
+    return texts(spark, sf).select("doc_id", F.size(T.char_ngrams(T.normalize_name(F.col("v")))).alias("n_grams"), F.size(T.word_ngrams(T.normalize_name(F.col("v")), 2, 5)).alias("n_word_grams"))
 
 
 # --- truth ----------------------------------------------------------------------------------------------------------
@@ -275,7 +304,7 @@ def truth_long_parse(spark, sf):
 @query
 def truth_verified(spark, sf):
     pairs, universe = pairs_of(spark, sf)
-    return truth.verified(pairs, universe.where("entity like 'S1-1%'"))
+    return truth.verified(pairs, decisions(spark, sf).select("entity"))
 
 
 @query
@@ -379,7 +408,7 @@ def block_char_tfidf(spark, sf):
 @query
 def gather_budgeted(spark, sf):
     queries, pool = both(spark, sf)
-    return R.name_index(pool).gather(queries, budget=60).select("q", "p", *r6("score"))
+    return R.name_index(pool).gather(queries, budget=3000).select("q", "p", *r6("score"))
 
 
 @query
@@ -390,7 +419,7 @@ def gather_address(spark, sf):
 
 @query
 def block_prefix_window(spark, sf):
-    return R.neighbours(*both(spark, sf), window=10).select("q", "p")
+    return R.neighbours(*both(spark, sf)).select("q", "p")
 
 
 @query
@@ -415,15 +444,17 @@ def resolve_ids(spark, sf):
 
 @query
 def gather_rows(spark, sf):
-    rows = records(spark, sf).where("src = 1").select(F.col("pos").alias("rowid"), "entity_id", "business_name")
-    asked = spark.range(200).select(F.col("id").alias("at"), ((F.col("id") * 37) % 101).alias("rowid"))
+    """A row of source 2 for every document: all of them several times, in another order, and some beyond the table."""
+    every = records(spark, sf)
+    rows = every.where("src = 1").select(F.col("pos").alias("rowid"), "entity_id", "business_name")
+    asked = every.select(F.col("doc_id").alias("at"), F.floor(F.col("doc_id") / 2).cast("long").alias("rowid"))
     return store.gather(rows, asked)
 
 
 @query
 def range_read(spark, sf):
     rows = records(spark, sf).where("src = 2").select(F.col("pos").alias("rowid"), "entity_id")
-    return store.read_range(rows, -5, 10**9).where("rowid % 2 = 0")
+    return store.read_range(rows, -5, 10**9)
 
 
 @query
@@ -437,75 +468,75 @@ def store_rows(spark, sf):
 @query
 def union_legacy(spark, sf):
     queries, pool = both(spark, sf)
-    found = linkage.legacy_strategies(queries, pool)
-    del found["tfidf_name"]
-    return S.union_legacy(found).select("q", "p", "mask", *r6("score"))
+    return S.union_legacy(linkage.legacy_strategies(queries, pool)).select("q", "p", "mask", *r6("score"))
 
 
 @query
 def union_legacy_all(spark, sf):
+    """The union under the configured cap."""
     return linkage.legacy_candidates(*both(spark, sf)).select("q", "p", "mask", *r6("score"))
 
 
 @query
 def cap_legacy(spark, sf):
-    queries, pool = both(spark, sf)
-    found = {"token_name": R.token_name(queries, pool), "address_token": R.token_address(queries, pool)}
-    return S.capped_legacy(S.union_legacy(found), 10, 5).select("q", "p", "mask", *r6("score"))
+    """The same union cut to ten, so that the cap bites."""
+    return S.capped_legacy(S.union_legacy(linkage.legacy_strategies(*both(spark, sf))), 10, 5).select("q", "p", "mask", *r6("score"))
 
 
 @query
 def union_scale(spark, sf):
-    return simple_union(spark, sf).select("q", "p", "mask", "rule_score", *r6("content_score"), "rank")
+    """The union of all strategies under the configured cap."""
+    return linkage.scale_candidates(*both(spark, sf)).select("q", "p", "mask", "rule_score", *r6("content_score"), "rank")
 
 
 @query
 def union_scale_all(spark, sf):
-    return scale_ranked(spark, sf).select("q", "p", "mask", "rule_score", *r6("content_score"), "rank")
+    """The union of all strategies without a cap."""
+    return linkage.scale_candidates(*both(spark, sf), cap=0).select("q", "p", "mask", "rule_score", *r6("content_score"), "rank")
 
 
 @query
 def cap_scale(spark, sf):
-    queries, pool = both(spark, sf)
-    found = linkage.scale_strategies(queries, pool)
-    del found["sorted_neighbourhood"]
-    return S.capped_scale(S.union_scale(found), 20).select("q", "p", "mask", "rule_score", *r6("content_score"))
+    found = full_union(spark, sf).drop("rank")
+    return S.capped_scale(found, 100).select("q", "p", "mask", "rule_score", *r6("content_score"))
 
 
-def _selection(spark, sf, **options):
-    return S.select(simple_union(spark, sf), S.Selection(**options)).select("q", "p", "mask", "rank")
+def _selection(spark, sf, how):
+    return S.select(full_union(spark, sf), how).select("q", "p", "mask", "rank")
 
 
 @query
 def quota_rank(spark, sf):
-    return _selection(spark, sf, cap=40, quotas={"name_token": 10, "address_token": 5, "country_token": 3})
+    return _selection(spark, sf, S.CONFIGURATIONS["C"])
 
 
 @query
 def quota_union(spark, sf):
-    return _selection(spark, sf, cap=20, quotas={"name_token": 10, "address_token": 5, "country_token": 3}, mode="union")
+    return _selection(spark, sf, S.CONFIGURATIONS["C2"])
 
 
 @query
 def exclude_only(spark, sf):
-    return _selection(spark, sf, cap=15, exclude_only=("country_token",))
+    return _selection(spark, sf, S.CONFIGURATIONS["E"])
 
 
 @query
 def quota_exclude(spark, sf):
-    return _selection(spark, sf, cap=15, quotas={"name_token": 4, "address_token": 8}, exclude_only=("country_token", "exact_normalized"), mode="union")
+    return _selection(spark, sf, S.CONFIGURATIONS["G2"])
 
 
 @query
 def adaptive_quota(spark, sf):
-    base = S.Selection("adaptive", 20, {"name_token": 8, "address_token": 12}, ("country_token",), "union")
-    exact = S.Selection("adaptive", 20, {"name_token": 4, "address_token": 16}, ("country_token",), "union")
-    return S.select_adaptive(simple_union(spark, sf), base, exact).select("q", "p", "mask", "rank")
+    """Quotas measured from the yields of the strategies (configuration D2)."""
+    pairs, _ = pairs_of(spark, sf)
+    rows = candidates(spark, sf)
+    cap, mode = experiment.ADAPTIVE["D2"]
+    return S.adaptive(rows, recall.attribution(pairs, rows), cap, mode, "__kept").where("__kept").select("q", "p", "mask", "rank")
 
 
 @query
 def strategy_labels(spark, sf):
-    return simple_union(spark, sf).groupBy(F.array_join(S.strategy_names(F.col("mask")), "+").alias("strategies")).agg(F.count("*").alias("n"))
+    return full_union(spark, sf).groupBy(F.array_join(S.strategy_names(F.col("mask")), "+").alias("strategies")).agg(F.count("*").alias("n"))
 
 
 # --- recall ---------------------------------------------------------------------------------------------------------
@@ -514,78 +545,79 @@ def strategy_labels(spark, sf):
 @query
 def candidate_stats(spark, sf):
     _, universe = pairs_of(spark, sf)
-    return rounded(recall.candidate_stats(simple_candidates(spark, sf), universe))
+    return rounded(recall.candidate_stats(candidates(spark, sf), universe))
 
 
 @query
 def candidate_histogram(spark, sf):
     _, universe = pairs_of(spark, sf)
-    return recall.candidate_histogram(simple_candidates(spark, sf), universe)
+    return recall.candidate_histogram(candidates(spark, sf), universe)
 
 
 @query
 def strategy_counts(spark, sf):
-    return recall.strategy_counts(simple_union(spark, sf))
+    return recall.strategy_counts(full_union(spark, sf))
 
 
 @query
 def candidate_recall(spark, sf):
     pairs, _ = pairs_of(spark, sf)
     pool = records(spark, sf).where("src > 0").select(F.col("entity_id").alias("match_id"), F.concat(F.lit("S"), (F.col("src") + 1).cast("string")).alias("source"))
-    return rounded(recall.candidate_recall(pairs, simple_candidates(spark, sf).where("rank < 50"), pool, R.C.SCALE_BITS))
+    return rounded(recall.candidate_recall(pairs, candidates(spark, sf, CAP), pool, R.C.SCALE_BITS))
 
 
 @query
 def scale_recall(spark, sf):
     pairs, _ = pairs_of(spark, sf)
-    known = records(spark, sf).where("src > 0 and doc_id % 5 > 0").select(F.col("entity_id").alias("match_id"))
-    return rounded(recall.scale_recall(pairs, simple_candidates(spark, sf), known))
+    """Against the pool of source 2 alone: matches in source 3 cannot be resolved."""
+    known = records(spark, sf).where("src = 1").select(F.col("entity_id").alias("match_id"))
+    return rounded(recall.scale_recall(pairs, candidates(spark, sf), known))
 
 
 @query
 def attribution(spark, sf):
     pairs, _ = pairs_of(spark, sf)
-    return rounded(recall.attribution(pairs, simple_candidates(spark, sf)))
+    return rounded(recall.attribution(pairs, candidates(spark, sf)))
 
 
 @query
 def rank_diagnostics(spark, sf):
     pairs, _ = pairs_of(spark, sf)
-    return recall.rank_diagnostics(pairs, simple_candidates(spark, sf))
+    return recall.rank_diagnostics(pairs, candidates(spark, sf))
 
 
 @query
 def missing_pairs(spark, sf):
     pairs, _ = pairs_of(spark, sf)
-    return recall.missing_pairs(pairs, simple_candidates(spark, sf).where("rank < 5"))
+    return recall.missing_pairs(pairs, candidates(spark, sf, CAP))
 
 
 @query
 def configuration_recall(spark, sf):
-    """Every named cap and quota over one ranked pass."""
+    """Every named cap and quota, measured ones too, over one ranked pass."""
     pairs, _ = pairs_of(spark, sf)
     known = records(spark, sf).where("src > 0").select(F.col("entity_id").alias("match_id"))
-    return rounded(experiment.measured(kept(scale_ranked(spark, sf), "ranked"), pairs, known, list(S.CONFIGURATIONS.values())))
+    return rounded(experiment.measured(candidates(spark, sf), pairs, known, list(S.CONFIGURATIONS.values()), experiment.ADAPTIVE))
 
 
 @query
 def frontier(spark, sf):
+    """The cheapest plain cap of no less recall, for each configuration with quotas."""
     pairs, _ = pairs_of(spark, sf)
     known = records(spark, sf).where("src > 0").select(F.col("entity_id").alias("match_id"))
-    rows = simple_candidates(spark, sf)
-    caps = experiment.measured(rows, pairs, known, [S.Selection(f"cap_{n}", n) for n in (5, 20, 50)])
-    told = experiment.measured(rows, pairs, known, [S.Selection("quota", 20, {"name_token": 6, "address_token": 6}, mode="union")])
-    return rounded(recall.frontier(caps.select("cap", F.col("candidates").alias("cap_candidates"), F.col("pair_recall").alias("cap_recall")), told))
+    told = kept(experiment.measured(candidates(spark, sf), pairs, known, list(S.CONFIGURATIONS.values())), "configurations")
+    caps = told.where(F.col("name").startswith("cap_"))
+    quotas = told.where(F.col("name").isin(*(n for n, c in S.CONFIGURATIONS.items() if c.quotas)))
+    return rounded(recall.frontier(caps.select("cap", F.col("candidates").alias("cap_candidates"), F.col("pair_recall").alias("cap_recall")), quotas))
 
 
 # --- features -------------------------------------------------------------------------------------------------------
 
 
 def feature_pairs(spark, sf):
-    """Pairs with equal core names, of addresses that share a word, and of a country's first rows."""
+    """All candidates under the configured cap."""
     queries, pool = both(spark, sf)
-    rows = simple_union(spark, sf).where("rank < 12").select("q", "p")
-    return rows, queries, pool
+    return full_union(spark, sf).where(F.col("rank") < CAP).select("q", "p"), queries, pool
 
 
 @query
@@ -610,9 +642,9 @@ def features_combined(spark, sf):
 
 
 def name_pairs(spark, sf):
-    """Name pairs that share their first word, up to ten a query."""
+    """Name pairs of the sorted neighbourhood."""
     queries, pool = both(spark, sf)
-    pairs = R.neighbours(queries, pool, window=9)
+    pairs = R.neighbours(queries, pool)
     return pairs.select("q", "p", F.col("qkey").alias("a"), F.col("pkey").alias("b"))
 
 
@@ -648,7 +680,7 @@ def pair_features(spark, sf):
 @query
 def pair_labels(spark, sf):
     pairs, _ = pairs_of(spark, sf)
-    rows = simple_candidates(spark, sf).where("rank < 20").select(F.col("entity").alias("s1_id"), "match_id")
+    rows = candidates(spark, sf, CAP).select(F.col("entity").alias("s1_id"), "match_id")
     return X.labelled(rows, pairs.withColumnRenamed("entity", "s1_id"))
 
 
@@ -672,12 +704,12 @@ def constant_features(spark, sf):
 
 @query
 def f05_per_entity(spark, sf):
-    return rounded(metrics.per_entity(metrics.decided(exact_scored(spark, sf), 0.6), *pairs_of(spark, sf)))
+    return rounded(metrics.per_entity(decisions(spark, sf), *pairs_of(spark, sf)))
 
 
 @query
 def f05_macro(spark, sf):
-    return rounded(metrics.macro(metrics.decided(exact_scored(spark, sf), 0.6), *pairs_of(spark, sf)))
+    return rounded(metrics.macro(decisions(spark, sf), *pairs_of(spark, sf)))
 
 
 @query
@@ -690,6 +722,14 @@ def breakpoint_sweep(spark, sf):
     return rounded(metrics.breakpoints(exact_scored(spark, sf), *pairs_of(spark, sf)))
 
 
+@query
+def breakpoint_sweep_spaced(spark, sf):
+    """At 400 scores, evenly spaced among all that the union's content scores take."""
+    pairs, universe = pairs_of(spark, sf)
+    scored = candidates(spark, sf).select("entity", "match_id", F.round("content_score", 6).alias("score"))
+    return rounded(metrics.breakpoints(scored, pairs, universe))
+
+
 @query
 def best_threshold(spark, sf):
     return rounded(metrics.best(metrics.breakpoints(exact_scored(spark, sf), *pairs_of(spark, sf))))
@@ -714,7 +754,7 @@ def calibration(spark, sf):
 
 @query
 def worst_entities(spark, sf):
-    return rounded(errors.worst_entities(metrics.decided(exact_scored(spark, sf), 0.6), *pairs_of(spark, sf)))
+    return rounded(errors.worst_entities(decisions(spark, sf), *pairs_of(spark, sf)))
 
 
 # --- decisions and models -------------------------------------------------------------------------------------------
@@ -723,7 +763,7 @@ def worst_entities(spark, sf):
 @query
 def decide_and_emit(spark, sf):
     _, universe = pairs_of(spark, sf)
-    return sinks.matching_results(metrics.decided(exact_scored(spark, sf), 0.6), universe)
+    return sinks.matching_results(decisions(spark, sf), universe)
 
 
 @query
@@ -735,9 +775,11 @@ def candidate_pairs_emit(spark, sf):
 @query
 def submission_checks(spark, sf):
     _, universe = pairs_of(spark, sf)
-    found = exact_scored(spark, sf)
-    results = sinks.matching_results(metrics.decided(found, 0.6), universe).where("source1_id not like '%7'")
-    return sinks.submission_problems(results, found.where("score < 0.9"), universe, records(spark, sf).where("src = 1"))
+    """Of results without rows for entities that match nothing, against candidates found by address, and ids of source 2 alone."""
+    told = decisions(spark, sf)
+    queries, pool = both(spark, sf)
+    others = linkage.with_ids(R.token_address(queries, pool), queries, pool)
+    return sinks.submission_problems(sinks.matching_results(told, told.select("entity")), others, universe, records(spark, sf).where("src = 1"))
 
 
 @query
@@ -749,7 +791,7 @@ def entity_folds(spark, sf):
 @query
 def training_sample(spark, sf):
     pairs, _ = pairs_of(spark, sf)
-    rows = simple_candidates(spark, sf).select(F.col("entity").alias("s1_id"), "match_id", "q", "p", (-F.col("rank")).alias("rank_score"))
+    rows = candidates(spark, sf).select(F.col("entity").alias("s1_id"), "match_id", "q", "p", (-F.col("rank")).alias("rank_score"))
     return linkage.training_sample(X.labelled(rows, pairs.withColumnRenamed("entity", "s1_id")), 5, 0.0).select("q", "p", "label")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 
@@ -25,3 +26,14 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_kept(df: DataFrame) -> None:
+    """Delete the files of a table made by kept() that no later plan reads."""
+    spark = df.sparkSession
+    for top in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if top.startswith("file:"):
+            shutil.rmtree(top.partition(":")[2].replace("///", "/"), ignore_errors=True)
+        else:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import shutil
 import subprocess
 import sys
+from decimal import Decimal
 from pathlib import Path
 
 import duckdb
@@ -15,8 +16,8 @@ from recordloom import queries as core
 ROOT = Path(__file__).parent.parent
 DATA = Path("/root/testdata/sf0.001")
 #: Without SQL: edit ratios and models.
-ROWS_ONLY = {"block_sorted_neighbourhood", "union_legacy_all", "union_scale_all", "configuration_recall", "frontier", "features_indel", "features_token_set", "pair_features", "entity_folds", "train_score_lr"}
-SAMPLE = ("scan_profile", "normalize_name_core", "normalize_address", "address_components", "truth_pairs", "block_country_aware", "block_char_tfidf", "gather_budgeted", "quota_union", "candidate_recall", "features_native", "features_cosine", "breakpoint_sweep", "submission_checks")
+ROWS_ONLY = {"pair_features", "entity_folds", "train_score_lr"}
+SAMPLE = ("scan_profile", "normalize_name_core", "normalize_address", "address_components", "truth_pairs", "block_country_aware", "block_char_tfidf", "gather_budgeted", "quota_union", "candidate_recall", "features_native", "features_cosine", "breakpoint_sweep", "submission_checks", "union_scale_all", "adaptive_quota", "configuration_recall", "features_token_set", "best_threshold")
 
 
 def test_every_query_has_sql_or_a_reason():
@@ -25,7 +26,7 @@ def test_every_query_has_sql_or_a_reason():
 
 
 def plain(v):
-    if isinstance(v, (int, float)) and not isinstance(v, bool):
+    if isinstance(v, (int, float, Decimal)) and not isinstance(v, bool):
         return f"{float(v):.9g}"
     return str(v)
 

@@ -103,8 +103,8 @@ def test_experiment_agrees_with_real_caps(world):
     assert rows["cap_5"].pair_recall <= rows["cap_20"].pair_recall and rows["cap_20"].pair_recall > 0.5
     real = {(r.q, r.p) for r in linkage.scale_candidates(queries, pool, cap=20).collect()}
     assert real == {(r.q, r.p) for r in select(ranked, Selection("", 20)).collect()}
-    base, exact = experiment.adaptive_configuration(ranked, pairs, 50)
-    assert base.quotas and exact.cap == 50
+    told = {r.name: r for r in experiment.measured(ranked, pairs, known, [Selection("cap_50", 50)], {"D2": (50, "union")}).collect()}
+    assert told["D2"].cap == 50 and 0 < told["D2"].candidates <= told["cap_50"].candidates and told["D2"].pair_recall > 0.5
 
 
 def test_features_of_empty_values(spark):

@@ -101,9 +101,41 @@ def test_unions_and_caps(spark):
     assert {(r.q, r.p, r.mask, r.score) for r in S.capped_legacy(legacy, 1, 1).collect()} == {(0, 1, 6, 1.0), (1, 5, 4, 0.1)}
 
 
-def test_adaptive_quotas():
-    rows = [{"strategy": s, "exclusive": x, "recovered": r} for s, x, r in (("exact_normalized", 0, 0), ("exact_core", 37, 1707), ("name_token", 88, 2000), ("sorted_neighbourhood", 9, 817), ("address_token", 807, 2831), ("country_token", 0, 0))]
-    base, exact = S.adaptive(rows, 100, "union")
-    assert base.exclude_only == ("exact_normalized", "country_token") and base.quotas["address_token"] > base.quotas["name_token"] >= 4
-    assert exact.quotas["address_token"] > base.quotas["address_token"] and exact.quotas["name_token"] <= base.quotas["name_token"]
+YIELDS = [("exact_normalized", 0, 0), ("exact_core", 37, 1707), ("name_token", 88, 2000), ("sorted_neighbourhood", 9, 817), ("address_token", 807, 2831), ("country_token", 0, 0)]
+
+
+def test_measured_quotas(spark):
+    row = S.measured_quotas(spark.createDataFrame(YIELDS, "strategy string, exclusive long, recovered long"), 100).first()
+    # worth 293.05, 388, 131.55 and 1231.65 of 2044.25
+    assert [row[f"__q_{s}"] for s in ("exact_core", "name_token", "sorted_neighbourhood", "address_token")] == [14, 19, 6, 60]
+    assert row["__q_country_token"] is None and row["__drop"] == B["exact_normalized"] | B["country_token"]
     assert len(S.CONFIGURATIONS) == 21 and S.CONFIGURATIONS["I2"].quotas == {"name_token": 20, "address_token": 150, "sorted_neighbourhood": 20}
+
+
+def test_both_quota_sets_see_the_whole_query_set(spark):
+    """Query 0 has country hits alone: over all queries something is left, so its rows go."""
+    rows = [(0, 1, 32), (0, 2, 32), (1, 3, 4), (1, 4, 1), (2, 5, 4)]
+    base = S.Selection("", 10, {"name_token": 1}, ("country_token",), "union")
+    exact = S.Selection("", 10, {"name_token": 1}, ("country_token",), "union")
+    got = {(r.q, r.p) for r in S.select_adaptive(build(spark, rows), base, exact).collect()}
+    assert got == {(1, 3), (1, 4), (2, 5)}
+
+
+def test_adaptive_against_loops(spark):
+    rng = random.Random(5)
+    quotas = {"exact_core": 14, "name_token": 19, "sorted_neighbourhood": 6, "address_token": 60}
+    moved = quotas | {"address_token": 101, "name_token": 4}
+    yields = spark.createDataFrame(YIELDS, "strategy string, exclusive long, recovered long")
+    for mode in ("rank", "union"):
+        rows = sorted(((rng.randrange(3), i, rng.choice([4, 8, 16, 32, 12, 36, 33] + [2] * (i % 7 == 0))) for i in range(400)), key=lambda r: r[0])
+        rows = [r for r in rows if r[0] != 2 or not r[2] & 3]  # query 2 has no exact hit
+        found = S.adaptive(build(spark, rows), yields, 100, mode, "kept").where("kept")
+        rest, hit = (slow(rows, 100, q, ("exact_normalized", "country_token"), mode) for q in (quotas, moved))
+        exact = {q for q, _, m in rows if m & 3}
+        assert {(r.q, r.p) for r in found.collect()} == {x for x in rest if x[0] not in exact} | {x for x in hit if x[0] in exact}
+
+
+def test_adaptive_without_yields(spark):
+    yields = spark.createDataFrame([(s, 0, 0) for s, *_ in YIELDS], "strategy string, exclusive long, recovered long")
+    assert S.adaptive(build(spark, [(0, 1, 4), (0, 2, 32)]), yields, 5, "union", "kept").where("kept").count() == 2
+    assert S.adaptive(build(spark, []), yields, 5, "union", "kept").count() == 0
