@@ -1,30 +1,29 @@
 """Benchmark decontamination by suffix arrays over the training text.
 
-Every task is a shard of the training documents. It numbers their words by the benchmark's vocabulary
-and sorts, to a suffix array, all suffixes that open with words some benchmark item has in a row (no
-other suffix can match). Every window of every item is then found by binary search: the range of the
-array that starts with it is all its locations in the shard. Runs of neighbouring locations are the
-longest verbatim matches.
+Every task goes through shards of the training documents. It numbers their words by the benchmark's
+vocabulary and sorts, to a suffix array, all suffixes that open with words some benchmark item has in a
+row (no other suffix can match). Every suffix of every item is found in it by binary search. The place
+of a test suffix between its neighbours tells the longest verbatim match of every training suffix, with
+item, places and length; the range of the array that starts with an item's window is all its locations.
 """
 
 from __future__ import annotations
 
 import functools
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8
+from .common import slices, utf8, written
 
 WINDOW, SHARE = 13, 20
-#: Words in a row that a suffix must share with an item to be sorted.
+#: Words in a row that a suffix must share with an item to be sorted; shorter matches count only if they are a whole item.
 OPENING = 4
-#: Benchmark text that is broadcast at once; a larger benchmark goes in several blocks.
+#: Benchmark text that is broadcast at once; a larger benchmark goes in several rounds, a block each.
 BLOCK_BYTES = 4 << 20
 #: Text of a shard, whose arrays take some forty times as much memory.
 SHARD_BYTES = 3 << 20
@@ -57,19 +56,19 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of every word of a byte string, by differences of a running polynomial."""
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, hash) of every word of a byte string, by differences of a running polynomial."""
     a = np.frombuffer(raw, np.uint8)
     inside = np.zeros(len(a) + 2, bool)
     inside[1:-1] = IS_WORD[a]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
-        return starts, np.zeros(0, np.uint64)
+        return starts, ends, np.zeros(0, np.uint64)
     n = 1 << max(16, len(a).bit_length())
     running = np.zeros(len(a) + 1, np.uint64)
     np.cumsum(VALUE[a] * _powers(BASE, n)[: len(a)], out=running[1:])
-    return starts, _mix((running[ends] - running[starts]) * _powers(INVERSE, n)[starts])
+    return starts, ends, _mix((running[ends] - running[starts]) * _powers(INVERSE, n)[starts])
 
 
 class Members:
@@ -99,37 +98,103 @@ def _openings(ids: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
+CHUNK = np.arange(WINDOW)
+
+
+def suffix_array(ids: np.ndarray, at: np.ndarray, longest: int) -> np.ndarray:
+    """Places in the order of the suffixes that start there, WINDOW words at a time and further only where they tie. A zero ends a suffix."""
+    rows = ids[at[:, None] + CHUNK]
+    order = np.lexsort(rows.T[::-1])
+    at, rows = at[order], rows[order]
+    head = np.ones(len(at), bool)
+    head[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+    goes_on = rows.all(axis=1)
+    for depth in range(WINDOW, longest, WINDOW):
+        group = np.cumsum(head) - 1
+        tied = np.flatnonzero((np.bincount(group)[group] > 1) & goes_on) if len(at) else at
+        if not len(tied):
+            break
+        rows = ids[at[tied][:, None] + depth + CHUNK]
+        order = np.lexsort((*rows.T[::-1], group[tied]))
+        at[tied], rows, group = at[tied][order], rows[order], group[tied]
+        head[tied[1:]] |= (rows[1:] != rows[:-1]).any(axis=1) & (group[1:] == group[:-1])
+        goes_on[:] = False
+        goes_on[tied] = rows.all(axis=1)
+    return at
+
+
+def compare(ids: np.ndarray, a: np.ndarray, other: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words in common, whether the first is smaller) of suffixes of ids at a and of other at b, pair by pair."""
+    common, less = np.zeros(len(a), np.int64), np.zeros(len(a), bool)
+    rest, depth = np.arange(len(a)), 0
+    while len(rest):
+        x, y = ids[a[rest][:, None] + depth + CHUNK], other[b[rest][:, None] + depth + CHUNK]
+        stop = (x != y) | (x == 0)
+        ends, first = stop.any(axis=1), stop.argmax(axis=1)
+        done, k = rest[ends], first[ends]
+        common[done], less[done] = depth + k, x[ends, k] < y[ends, k]
+        rest, depth = rest[~ends], depth + WINDOW
+    return common, less
+
+
 @dataclass
 class Index:
-    """A block of the benchmark: its vocabulary, distinct windows and the items of each."""
+    """A block of the benchmark: its vocabulary, its own sorted suffixes, distinct windows and the items of each."""
 
     vocabulary: Members
-    opening: int
-    openings: Members
-    windows: np.ndarray  # (windows, WINDOW) word numbers from 1, zeros after a short item's end
+    spelt: list[bytes]  # in the order of the vocabulary
+    openings: dict[int, Members]  # by number of words: OPENING, and those of shorter items
+    longest: int
+    ids: np.ndarray  # word numbers from 1 of all items, a zero after each
+    names: list[str]
+    item: np.ndarray  # of each place
+    first: np.ndarray  # place of each item's first word
+    suffixes: np.ndarray
+    suffix_opens: np.ndarray
+    windows: np.ndarray  # (windows, WINDOW) word numbers, zeros after a short item's end
     lengths: np.ndarray
-    opens_with: np.ndarray
+    window_opens: np.ndarray
     items: list[list[str]]
 
 
 def index(items: list[tuple[str, bytes]]) -> Index:
-    """Windows of the items (id, text): WINDOW words in a row, or all of a shorter item."""
-    hashes = [word_hashes(t)[1] for _, t in items]
-    vocabulary = Members(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64))
-    found: dict[bytes, tuple[int, set[str]]] = {}
-    for (name, _), h in zip(items, hashes, strict=True):
-        ids = (vocabulary.find(h) + 1).astype(np.int32)
-        n = min(len(ids), WINDOW)
-        for i in range(len(ids) - n + 1 if n else 0):
+    """Suffixes and windows of the items (id, text): WINDOW words in a row, or all of a shorter item."""
+    found = [word_hashes(t) for _, t in items]
+    flat = np.concatenate([h for *_, h in found]) if found else np.zeros(0, np.uint64)
+    vocabulary = Members(flat)
+    spelling = dict(zip(flat.tolist(), (t[a:b].lower() for (_, t), (starts, ends, _) in zip(items, found, strict=True) for a, b in zip(starts, ends, strict=True)), strict=True))
+    sizes = np.array([len(h) for *_, h in found], np.int64)
+    first = np.cumsum(sizes + 1) - sizes - 1
+    longest = int(sizes.max()) if len(sizes) else 0
+    ids = np.zeros(int((sizes + 1).sum()) + longest + 2 * WINDOW, np.int32)
+    item = np.repeat(np.arange(len(items)), sizes)
+    place = np.arange(len(item)) + item
+    ids[place] = vocabulary.find(flat) + 1
+    item_of = np.zeros(len(ids), np.int64)
+    item_of[place] = item
+    windows: dict[bytes, tuple[int, set[str]]] = {}
+    for (name, _), start, size in zip(items, first.tolist(), sizes.tolist(), strict=True):
+        n = min(size, WINDOW)
+        for i in range(start, start + size - n + 1) if n else ():
             row = np.zeros(WINDOW, np.int32)
             row[:n] = ids[i : i + n]
-            found.setdefault(row.tobytes(), (n, set()))[1].add(name)
-    windows = np.frombuffer(b"".join(found), np.int32).reshape(-1, WINDOW)
-    lengths = np.array([n for n, _ in found.values()], np.int64)
-    opening = int(min(OPENING, lengths.min())) if len(lengths) else OPENING
-    flat = np.concatenate([windows.ravel(), np.zeros(OPENING, np.int32)])
-    opens = _openings(flat, np.arange(len(windows)) * WINDOW, opening)
-    return Index(vocabulary, opening, Members(opens), windows, lengths, opens, [sorted(s) for _, s in found.values()])
+            windows.setdefault(row.tobytes(), (n, set()))[1].add(name)
+    rows = np.frombuffer(b"".join(windows), np.int32).reshape(-1, WINDOW)
+    lengths = np.array([n for n, _ in windows.values()], np.int64)
+    padded = np.concatenate([rows.ravel(), np.zeros(OPENING, np.int32)])
+    opens = {n: _openings(padded, np.flatnonzero(lengths >= n if n == OPENING else lengths == n) * WINDOW, n) for n in sorted({OPENING, *lengths[lengths < OPENING].tolist()})}
+    suffixes = suffix_array(ids, place, longest)
+    suffix_opens = _openings(ids, suffixes, OPENING)
+    long = ids[suffixes + OPENING - 1] > 0  # all words up to there are of the same item: a zero stands between items
+    for k in range(OPENING - 1):
+        long &= ids[suffixes + k] > 0
+    suffixes, suffix_opens = suffixes[long], suffix_opens[long]
+    members = {n: Members(h) for n, h in opens.items()}
+    members[OPENING] = Members(suffix_opens)
+    window_opens = np.zeros(len(rows), np.uint64)
+    for n, h in opens.items():
+        window_opens[lengths >= n if n == OPENING else lengths == n] = h
+    return Index(vocabulary, [spelling[h] for h in vocabulary.sorted.tolist()], members, longest, ids, [name for name, _ in items], item_of, first, suffixes, suffix_opens, rows, lengths, window_opens, [sorted(s) for _, s in windows.values()])
 
 
 def _bounds(rows: np.ndarray, windows: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,105 +219,228 @@ def _bounds(rows: np.ndarray, windows: np.ndarray, lengths: np.ndarray) -> tuple
 
 @dataclass
 class Found:
-    """What a shard holds of a block: covered words, items and longest match of its documents."""
+    """What a shard holds of a block: covered places, items by document, and per place the longest match and the test suffix of it."""
 
-    n_words: np.ndarray
     covered: np.ndarray
     items: list[set[str]]
-    longest: np.ndarray
+    words: np.ndarray
+    suffix: np.ndarray
 
 
 class Shard:
     """Hashed words of several documents, with a gap after each."""
 
     def __init__(self, texts: list[bytes | None]):
-        raw = b"\0".join(t or b"" for t in texts)
+        self.raw = b"\0".join(t or b"" for t in texts)
         sizes = np.array([len(t or b"") + 1 for t in texts], np.int64)
-        starts, self.hashes = word_hashes(raw)
-        self.doc = np.searchsorted(np.cumsum(sizes), starts, "right")
+        self.starts, self.ends, self.hashes = word_hashes(self.raw)
+        self.doc = np.searchsorted(np.cumsum(sizes), self.starts, "right")
         self.n_words = np.bincount(self.doc, minlength=len(texts))
-        self.place = np.arange(len(starts)) + self.doc  # a place without a word stands between documents
-        self.size = len(starts) + len(texts) + WINDOW
-
-    def search(self, block: Index) -> tuple[np.ndarray, np.ndarray]:
-        """(places, windows): every location of every window of the block in this shard."""
-        ids = np.zeros(self.size, np.int32)
+        self.first = np.cumsum(self.n_words) - self.n_words  # each document's first word
+        self.place = np.arange(len(self.starts)) + self.doc  # a place without a word stands between documents
+        self.size = len(self.starts) + len(texts)
+        self.doc_of = np.zeros(self.size, np.int64)
+        self.doc_of[self.place] = self.doc
+
+    def found(self, block: Index) -> Found:
+        """Search a block. Words are equal by hash first; what a match holds is compared by its bytes."""
+        ids = np.zeros(self.size + block.longest + 2 * WINDOW, np.int32)
         ids[self.place] = block.vocabulary.find(self.hashes) + 1
+        while True:
+            got = self._search(block, ids)
+            inside = np.zeros(self.size + 1, np.int64)
+            some = np.flatnonzero(got.words)
+            np.add.at(inside, some, 1)
+            np.add.at(inside, some + got.words[some], -1)
+            held = np.flatnonzero((np.cumsum(inside[:-1]) + got.covered)[self.place] > 0)
+            wrong = [i for i in held.tolist() if self.raw[self.starts[i] : self.ends[i]].lower() != block.spelt[ids[self.place[i]] - 1]]
+            if not wrong:
+                return got
+            ids[self.place[wrong]] = 0
+
+    def _search(self, block: Index, ids: np.ndarray) -> Found:
         at = self.place[ids[self.place] > 0]
-        for k in range(1, block.opening):
-            at = at[ids[at + k] > 0]
-        at = at[block.openings.find(_openings(ids, at, block.opening)) >= 0]
-        rows = ids[at[:, None] + np.arange(WINDOW)]
-        order = np.lexsort(rows.T[::-1])  # the suffix array
-        rows, at = rows[order], at[order]
-        low, high = _bounds(rows, block.windows, block.lengths)
+        opened = np.zeros(self.size, bool)
+        kept, run = at, 1
+        for n in sorted(block.openings):
+            while run < n:
+                kept = kept[ids[kept + run] > 0]
+                run += 1
+            opened[kept[block.openings[n].find(_openings(ids, kept, n)) >= 0]] = True
+        at = suffix_array(ids, at[opened[at]], block.longest)
+        items: list[set[str]] = [set() for _ in self.n_words]
+        edges, words, suffix = np.zeros(self.size + 1, np.int64), np.zeros(self.size, np.int64), np.zeros(self.size, np.int64)
+        if not len(at):
+            return Found(edges[:-1], items, words, suffix)
+        here = Members(_openings(ids, at, OPENING))
+        # every test suffix to its place in the array; those whose first words are nowhere in the shard match nothing
+        test = block.suffixes[here.find(block.suffix_opens) >= 0]
+        if len(test):
+            low, high = np.zeros(len(test), np.int64), np.full(len(test), len(at), np.int64)
+            while (open_ := np.flatnonzero(low < high)).size:
+                middle = (low[open_] + high[open_]) >> 1
+                _, right = compare(ids, at[middle], block.ids, test[open_])
+                low[open_[right]] = middle[right] + 1
+                high[open_[~right]] = middle[~right]
+            # a training suffix has its longest match with the test suffix before or after it
+            after = np.searchsorted(low, np.arange(len(at)), "right")
+            for t in (np.maximum(after - 1, 0), np.minimum(after, len(test) - 1)):
+                common, _ = compare(ids, at, block.ids, test[t])
+                better = (common >= OPENING) & (common > words[at])
+                words[at[better]], suffix[at[better]] = common[better], test[t[better]]
+        rows = ids[at[:, None] + CHUNK]
+        window = np.flatnonzero((block.lengths < OPENING) | (here.find(block.window_opens) >= 0))
+        low, high = _bounds(rows, block.windows[window], block.lengths[window])
         counts = high - low
-        window = np.repeat(np.arange(len(counts)), counts)
-        return at[np.repeat(low, counts) + np.arange(len(window)) - np.repeat(np.cumsum(counts) - counts, counts)], window
-
-    def found(self, blocks: list[Index]) -> Found:
-        n = len(self.n_words)
-        items: list[set[str]] = [set() for _ in range(n)]
-        edges, doc_of = np.zeros(self.size + WINDOW + 1, np.int64), np.zeros(self.size, np.int64)
-        doc_of[self.place] = self.doc
-        for block in blocks:
-            places, window = self.search(block)
-            np.add.at(edges, places, 1)
-            np.add.at(edges, places + block.lengths[window], -1)
-            for d, w in np.unique(np.stack([doc_of[places], window], axis=1), axis=0) if len(places) else ():
+        window = np.repeat(window, counts)
+        places = at[np.repeat(low, counts) + np.arange(len(window)) - np.repeat(np.cumsum(counts) - counts, counts)]
+        np.add.at(edges, places, 1)
+        np.add.at(edges, places + block.lengths[window], -1)
+        if len(places):
+            for d, w in np.unique(np.stack([self.doc_of[places], window], axis=1), axis=0):
                 items[d].update(block.items[w])
-        hit = np.cumsum(edges)[self.place] > 0
-        covered = np.bincount(self.doc[hit], minlength=n)
-        longest = np.zeros(n, np.int64)
-        if hit.any():
-            run = np.flatnonzero(hit)
-            cut = np.flatnonzero((np.diff(self.place[run]) > 1) | (np.diff(run) > 1)) + 1
-            first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(run)]])
-            np.maximum.at(longest, self.doc[run[first]], last - first)
-        return Found(self.n_words, covered, items, longest)
-
-
-def blocks_of(benchmark: DataFrame, spark: SparkSession) -> list:
-    """The benchmark as broadcasts of bounded size. Null texts have no words; a null id counts as an empty one."""
-    out, held, size = [], [], 0
+        np.maximum.at(words, places, block.lengths[window])
+        return Found((np.cumsum(edges[:-1]) > 0).astype(np.int64), items, words, suffix)
+
+    def matches(self, block: Index, got: Found) -> list[list[dict]]:
+        """Of each document the longest matches that no match one word earlier holds: where they start, in the document and in an item."""
+        out: list[list[dict]] = [[] for _ in self.n_words]
+        words = got.words
+        starts = np.flatnonzero((words >= OPENING) & (words != np.concatenate([[0], words[:-1]]) - 1))
+        for p in starts.tolist():
+            d, t = int(self.doc_of[p]), int(got.suffix[p])
+            i = int(block.item[t])
+            out[d].append({"item": block.names[i], "item_word": t - int(block.first[i]), "word": p - d - int(self.first[d]), "words": int(words[p])})
+        return out
+
+    def runs(self, covered: np.ndarray) -> list[list[dict]]:
+        """Covered words of each document: the first of every run, and the one after its last."""
+        out: list[list[dict]] = [[] for _ in self.n_words]
+        at = np.flatnonzero(covered[self.place] > 0)
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) > 1) | (np.diff(self.doc[at]) > 0)
+        starts = np.flatnonzero(new)
+        for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(at)], strict=False):
+            d = int(self.doc[at[i]])
+            out[d].append({"a": int(at[i] - self.first[d]), "b": int(at[j - 1] - self.first[d]) + 1})
+        return out
+
+
+def blocks_of(benchmark: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
+    """The benchmark's items in blocks of bounded size, one at a time. Null texts have no words; a null id counts as an empty one."""
+    held, size = [], 0
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
     for r in rows.toLocalIterator():
         held.append((r.id, bytes(r.text)))
         size += len(r.text)
         if size > BLOCK_BYTES:
-            out.append(spark.sparkContext.broadcast(index(held)))
+            yield held
             held, size = [], 0
-    return [*out, spark.sparkContext.broadcast(index(held))] if held or not out else out
+    if held:
+        yield held
 
 
-def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per row of docs: (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match, items).
+_SPAN = "array<struct<item string, item_word int, word int, words int>>"
+_ROUND = f"id long, mark long, n_words long, covered array<struct<a int, b int>>, items array<string>, longest_match long, matches {_SPAN}"
 
-    longest_match: the most words in a row that windows cover; items: the ids behind items_sha256. Null and
-    empty texts have no words and are clean; null ids and repeated rows are judged like others; an empty
-    benchmark hits nothing; other columns are not looked at.
-    """
-    blocks = blocks_of(benchmark, docs.sparkSession)
+
+def _round(docs: DataFrame, items: list[tuple[str, bytes]], every: bool) -> DataFrame:
+    """One block against docs (id, mark, text): rows of _ROUND, of documents with a match alone unless every."""
+    block = docs.sparkSession.sparkContext.broadcast(index(items))
+    run_of = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+    span = pa.list_(pa.struct([("item", pa.string()), ("item_word", pa.int32()), ("word", pa.int32()), ("words", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=SHARD_BYTES):
-            got = Shard(utf8(batch.column(1))).found([b.value for b in blocks])
-            named = [sorted(s) for s in got.items]
-            dirty = (got.covered > 0) & (SHARE * got.covered >= got.n_words)
-            columns = [batch.column(0), *(pa.array(x, pa.int64()) for x in (got.n_words, got.covered, [len(s) for s in named])), pa.array([hashlib.sha256(",".join(s).encode()).hexdigest() for s in named])]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(dirty), pa.array(got.longest, pa.int64()), pa.array(named, pa.list_(pa.string()))], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match", "items"])
+        for batch in slices(batches, 2, SHARD_BYTES):
+            shard = Shard(utf8(batch.column(2)))
+            got = shard.found(block.value)
+            longest = np.zeros(len(shard.n_words), np.int64)
+            np.maximum.at(longest, shard.doc, got.words[shard.place])
+            columns = [batch.column(0), batch.column(1), pa.array(shard.n_words, pa.int64()), pa.array(shard.runs(got.covered), run_of), pa.array([sorted(s) for s in got.items], pa.list_(pa.string())), pa.array(longest, pa.int64()), pa.array(shard.matches(block.value, got), span)]
+            out = pa.RecordBatch.from_arrays(columns, names=["id", "mark", "n_words", "covered", "items", "longest_match", "matches"])
+            yield out if every else out.filter(pa.array(longest > 0))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long, items array<string>")
+    return docs.mapInArrow(run, _ROUND)
+
+
+def _keyed(docs: DataFrame) -> list:
+    """A row is known by its id and a hash of its text; what rows share both of is judged alike."""
+    return [F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("mark"), F.col("text")]
+
+
+def _total(runs: Column) -> Column:
+    """Number of words that runs (a, b) cover together; they may overlap."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
+    return F.aggregate(F.array_sort(runs), start, lambda s, p: F.struct((s["n"] + F.greatest(F.lit(0), p["b"] - F.greatest(p["a"], s["end"]))).alias("n"), F.greatest(s["end"], p["b"]).alias("end")), lambda s: s["n"])
+
+
+def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per row of docs: (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match, items, matches).
+
+    longest_match: the most words in a row that the document has in common with an item, of OPENING words or
+    more, or a whole shorter item. matches: every longest match of OPENING words or more that none one word
+    earlier holds, as (item, item_word, word, words): an item that holds it, the word of the item and of the
+    document where it starts, both from 0, and its length; of several items with the same words any is named.
+    items: the ids behind items_sha256. Null and empty texts have no words and are clean; texts of any length
+    are whole; null ids and repeated rows are judged like others; an empty benchmark hits nothing; an empty
+    table gives no rows; other columns are not looked at.
+
+    Only one block of the benchmark is broadcast and held at a time: the first goes over every document, what
+    further ones find is written, without texts, and joined. Equal rows of docs find equal things, so that
+    joining by id and text hash is exact.
+    """
+    return _judged(docs, benchmark).withColumnRenamed("id", "doc_id").drop("mark")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of search with (id, mark) in place of doc_id."""
+    keyed = docs.select(*_keyed(docs))
+    blocks = blocks_of(benchmark)
+    first = next(blocks, [])
+    rows, more = _round(keyed, first, True), None
+    for items in blocks:
+        if more is None:
+            rows = written(rows, "first")
+        part = written(_round(keyed, items, False), "block")
+        more = part if more is None else more.unionByName(part)
+    if more is None:
+        told = rows.select("id", "mark", "n_words", _total(F.col("covered")).alias("n_hit"), "items", "longest_match", "matches")
+    else:
+        again = more.where("longest_match > 0").select("id", "mark", "covered", "items", "longest_match", "matches").distinct()
+        again = again.groupBy("id", "mark").agg(F.flatten(F.collect_list("covered")).alias("c"), F.flatten(F.collect_list("items")).alias("i"), F.max("longest_match").alias("l"), F.flatten(F.collect_list("matches")).alias("m"))
+        joined = rows.alias("r").join(again.alias("a"), F.col("r.id").eqNullSafe(F.col("a.id")) & (F.col("r.mark") == F.col("a.mark")), "left")
+        told = joined.select(
+            F.col("r.id").alias("id"),
+            F.col("r.mark").alias("mark"),
+            "n_words",
+            _total(F.concat("r.covered", F.coalesce("c", F.array().cast("array<struct<a int, b int>>")))).alias("n_hit"),
+            F.array_sort(F.array_distinct(F.concat("r.items", F.coalesce("i", F.array().cast("array<string>"))))).alias("items"),
+            F.greatest("r.longest_match", F.coalesce("l", F.lit(0))).alias("longest_match"),
+            F.concat("r.matches", F.coalesce("m", F.array().cast(_SPAN))).alias("matches"),
+        )
+    dirty = (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))
+    return told.select("id", "mark", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), dirty.alias("contaminated"), "longest_match", "items", "matches")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that are not contaminated, with all their columns."""
-    blocks, at = blocks_of(benchmark, docs.sparkSession), docs.columns.index("text")
+    """The rows of docs that are not contaminated, with all their columns.
+
+    Nulls, empty and long texts, repeated rows and empty tables are as in search: rows without words stay.
+    A benchmark of one block is a map over docs, without a shuffle; of more, contaminated rows are found by
+    search and taken out by id and text hash.
+    """
+    blocks = blocks_of(benchmark)
+    first = next(blocks, [])
+    if next(blocks, None) is not None:
+        dirty = written(_judged(docs, benchmark).where("contaminated").select(F.col("id").alias("__id"), F.col("mark").alias("__mark")), "dirty")
+        return docs.join(dirty, docs["doc_id"].cast("long").eqNullSafe(dirty["__id"]) & (F.xxhash64(docs["text"]) == dirty["__mark"]), "left_anti")
+    block, at = docs.sparkSession.sparkContext.broadcast(index(first)), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, at, SHARD_BYTES):
-            got = Shard(utf8(batch.column(at))).found([b.value for b in blocks])
-            yield batch.filter(pa.array((got.covered == 0) | (SHARE * got.covered < got.n_words)))
+            shard = Shard(utf8(batch.column(at)))
+            covered = np.bincount(shard.doc, shard.found(block.value).covered[shard.place], len(shard.n_words))
+            yield batch.filter(pa.array((covered == 0) | (SHARE * covered < shard.n_words)))
 
     return docs.mapInArrow(run, docs.schema)
 
