@@ -1,9 +1,10 @@
 """Toxicity by weak supervision: voters, a generative label model, a linear classifier.
 
-Voters are lexicon entries and patterns, each of which votes on a document or abstains. The label
-model estimates how often each votes on either class and how strongly voters depend on each other
-beyond the class, and turns votes into posterior labels in which dependent voters share their weight.
-A logistic classifier over how often each voter fires is then trained on those posteriors.
+Voters are lexicon entries and patterns. Each votes for its own class, toxic or clean, or abstains. The
+label model estimates from the votes alone, by EM, how often each voter votes on either class and how
+voters depend on each other beyond the class, pair by pair; its posterior lets dependent voters share
+their weight. A logistic classifier over how often each voter fires is then trained on the posteriors.
+Given labels choose the entries that vote and tell which voters to distrust; they are no votes.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from .common import map_texts, remainder
 from .labelled import FIT_ROWS, labelled_texts
 
 THRESHOLD = 0.7
-#: Entries mined from labelled texts: word starts of these lengths and whole words; most of them that vote.
-STEMS, MOST_VOTERS, CHANCE, LEAST_PRECISION = (4, 5, 6), 400, 1e-5, 0.8
-#: How often a given label is taken to be right.
-TRUST = 0.97
+#: Entries mined from labelled texts: word starts of these lengths and whole words, of this precision, which chance gives with this probability.
+STEMS, CHANCE, LEAST_PRECISION = (4, 5, 6, 8), 1e-5, 0.75
+#: Shrinkage of the voters' correlations towards none.
+SHRINK = 0.1
 WORD = re.compile(r"[^\W\d_]+")
 #: Insults that a general lexicon lists.
 LEXICON = (
@@ -53,9 +54,15 @@ def entries(text: str) -> Counter[str]:
     return out
 
 
+#: Entries in a text that are a vote by their number; a single one may be chance.
+DENSE = (2, 4, 6)
+#: Voters for the other class: fewer entries than that, no pattern, and entries in two words of a hundred at most. Short texts vote too.
+CLEAN = ("silent", "calm", "sparse")
+
+
 @dataclass
 class Voters:
-    """Lexicon entries by number, and patterns after them."""
+    """Lexicon entries by number, then patterns, then three that tell how many words were entries, then those of CLEAN."""
 
     lexicon: list[str]
 
@@ -65,14 +72,21 @@ class Voters:
         self.stems = {k: {e[:-1] for e in self.lexicon if e[-1] == "*" and len(e) == k + 1} for k in STEMS}
 
     def __len__(self) -> int:
-        return len(self.lexicon) + len(PATTERNS) + 3
+        return len(self.lexicon) + len(PATTERNS) + 3 + len(CLEAN)
+
+    def polarity(self) -> np.ndarray:
+        """The class that each votes for: 1 toxic, -1 clean."""
+        out = np.ones(len(self))
+        out[-len(CLEAN) :] = -1
+        return out
 
     def votes(self, text: str) -> list[tuple[int, float]]:
-        """(voter, how often it fires) of those that fire; the last three tell that one, three or six entries or more did."""
+        """(voter, how often it fires) of those that fire."""
         found: Counter[int] = Counter()
-        fired = 0
+        fired = total = 0
         for word, n in Counter(WORD.findall(text.lower())).items():
             hit = False
+            total += n
             if word in self.words:
                 found[self.number[word]] += n
                 hit = True
@@ -82,8 +96,13 @@ class Voters:
                     hit = True
             fired += n * hit
         out = list(found.items())
-        out += [(len(self.lexicon) + i, 1.0) for i, p in enumerate(PATTERNS.values()) if p.search(text)]
-        return out + [(len(self.lexicon) + len(PATTERNS) + i, 1.0) for i, least in enumerate((1, 3, 6)) if fired >= least]
+        first = len(self.lexicon)
+        patterns = [(first + i, 1.0) for i, p in enumerate(PATTERNS.values()) if p.search(text)]
+        first += len(PATTERNS)
+        dense = [(first + i, 1.0) for i, least in enumerate(DENSE) if fired >= least]
+        first += 3
+        clean = (fired < DENSE[0], not patterns, 50 * fired <= total)
+        return out + patterns + dense + [(first + i, 1.0) for i, vote in enumerate(clean) if vote]
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,48 +115,75 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.string()), pa.array([v[0] for _, v in kept], pa.int64()), pa.array([v[1] for _, v in kept], pa.int64())], names=["entry", "clean", "toxic"])
 
 
-def mined(sample: DataFrame) -> list[str]:
-    """Entries that labelled toxic texts hold more often than CHANCE allows and clean ones hardly do, the most frequent first."""
+def chosen(sample: DataFrame) -> list[str]:
+    """Entries that vote, from the labelled texts' counts of every entry.
+
+    Mined are those of LEAST_PRECISION that toxic texts hold more often than CHANCE allows. An entry whose start votes is left out: it fires on no other text. Of the fixed LEXICON
+    those go that mostly stand in clean texts.
+    """
     counts = map_texts(sample, _terms, "entry string, clean long, toxic long").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     size = sample.agg(F.count("*").alias("n"), F.sum((F.col("label") > 0).cast("int")).alias("toxic")).first()
     share = min(max(((size.toxic or 0) + 1) / (size.n + 2), 1e-3), 0.5)
-    kept = counts.where((F.col("toxic") * math.log(share) <= math.log(CHANCE)) & (F.col("toxic") >= LEAST_PRECISION * (F.col("clean") + F.col("toxic"))))
-    return [r.entry for r in kept.orderBy(F.desc("toxic"), "entry").limit(MOST_VOTERS).collect()]
+    precise = F.col("toxic") >= LEAST_PRECISION * (F.col("clean") + F.col("toxic"))
+    rows = counts.where(((F.col("toxic") * math.log(share) <= math.log(CHANCE)) & precise) | F.col("entry").isin(*LEXICON)).collect()
+    distrusted = {r.entry for r in rows if r.entry in LEXICON and r.clean > r.toxic}
+    entries_ = ({r.entry for r in rows} | set(LEXICON)) - distrusted
+    covered = lambda e: any(e[:k] + "*" in entries_ and len(e.rstrip("*")) > k for k in STEMS if e[:k] + "*" != e)
+    return sorted(e for e in entries_ if not covered(e))
 
 
 @dataclass
 class LabelModel:
-    """How often each voter fires on either class, and by what weight it counts beside its like."""
+    """How often each voter fires on either class, and by what weight it counts beside those it depends on."""
 
     prior: float
     fires: np.ndarray  # (2, voters)
     weight: np.ndarray
 
-    def posterior(self, votes: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
         on, off = np.log(self.fires[1] / self.fires[0]), np.log((1 - self.fires[1]) / (1 - self.fires[0]))
-        logit = np.log(self.prior / (1 - self.prior)) + votes @ (self.weight * on) + (1 - votes) @ (self.weight * off)
-        logit += np.where(labels > 0, 1, -1) * np.log(TRUST / (1 - TRUST))
+        logit = np.log(self.prior / (1 - self.prior)) + votes @ (self.weight * (on - off)) + (self.weight * off).sum()
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 15) -> LabelModel:
-    """EM over votes (0 or 1). The given labels are one more voter, right with probability TRUST; it tells the classes apart."""
-    q = np.where(labels > 0, TRUST, 1 - TRUST)
-    for _ in range(rounds):
+def dependence(votes: np.ndarray, q: np.ndarray, fires: np.ndarray) -> np.ndarray:
+    """Correlation of every pair of voters, of either sign, within the classes: their covariances, pooled."""
+    cov = np.zeros((votes.shape[1],) * 2)
+    for mass, mean in ((1 - q, fires[0]), (q, fires[1])):
+        rest = votes - mean
+        cov += (rest * mass[:, None]).T @ rest / len(votes)
+    deviation = np.sqrt(np.diag(cov)) + 1e-6
+    correlation = cov / np.outer(deviation, deviation)
+    np.fill_diagonal(correlation, 1)
+    return correlation
+
+
+def label_model(votes: np.ndarray, polarity: np.ndarray, rounds: int = 40) -> LabelModel:
+    """EM over votes (0 or 1) without any label.
+
+    It starts from each voter's own class, which also names the classes. Weights are those by which evidence
+    of equal strength with the pairs' correlations adds up: copies share one vote, and what one voter excludes
+    in another makes up for what it shares with a third, up to a whole vote.
+    """
+    lead = votes @ np.where(polarity > 0, 1.5, -1.5) - 1.5  # silence is no sign of toxicity
+    q = 1 / (1 + np.exp(-np.clip(lead, -6, 6)))
+    model = None
+    weight = np.ones(votes.shape[1])
+    for k in range(rounds):
         mass = np.stack([1 - q, q])
-        fires = (mass @ votes + np.array([[0.02], [0.2]])) / (mass.sum(axis=1, keepdims=True) + 1)
-        # dependence beyond the class: correlations of what the class leaves unexplained
-        rest = votes - q[:, None] * fires[1] - (1 - q)[:, None] * fires[0]
-        cov = rest.T @ rest / len(rest)
-        deviation = np.sqrt(np.diag(cov)) + 1e-6
-        correlation = np.clip(cov / np.outer(deviation, deviation), 0, 1)
-        correlation[correlation < 0.1] = 0
-        np.fill_diagonal(correlation, 1)
-        model = LabelModel(float(np.clip(q.mean(), 1e-3, 1 - 1e-3)), np.clip(fires, 1e-5, 1 - 1e-5), 1 / correlation.sum(axis=1))
-        new = model.posterior(votes, labels)
-        if np.abs(new - q).max() < 1e-4:
+        # what a voter is taken to do before it is seen: to vote for its class rather than the other
+        seen = np.where(polarity > 0, np.array([[0.02], [0.2]]), np.array([[0.5], [0.1]]))
+        fires = (mass @ votes + seen) / (mass.sum(axis=1, keepdims=True) + 1)
+        if k % 8 == 0:
+            c = (1 - SHRINK) * dependence(votes, q, fires) + SHRINK * np.eye(len(weight))
+            weight = np.clip(np.linalg.solve(c, np.ones(len(weight))), 0.02, 1)
+        model = LabelModel(float(np.clip(q.mean(), 1e-3, 1 - 1e-3)), np.clip(fires, 1e-5, 1 - 1e-5), weight)
+        new = model.posterior(votes)
+        if k % 8 != 7 and np.abs(new - q).max() < 1e-4:
             break
         q = new
+    if ((model.fires[1] - model.fires[0]) * polarity).sum() < 0:  # the classes changed places
+        model = LabelModel(1 - model.prior, model.fires[::-1], model.weight)
     return model
 
 
@@ -173,7 +219,7 @@ class Model:
 def learnt(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model | float:
     """Fit on up to ``rows`` labelled documents whose id's crc32 leaves a remainder other than 1 by 3."""
     sample = labelled_texts(docs, labels, "toxic", remainder(F.col("doc_id"), 3) != 1, rows)
-    voters = Voters(sorted({*LEXICON, *mined(sample)}))
+    voters = Voters(chosen(sample))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,19 +230,20 @@ def learnt(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model |
     y = (got.column("label").to_numpy() > 0).astype(np.float64)
     if min((y == 0).sum(), (y == 1).sum()) < 2:
         return float((y.sum() + 0.5) / (len(y) + 1))
-    x = np.zeros((len(y), len(voters)), np.float64)
+    x = np.zeros((len(y), len(voters)), np.float32)
     for i, (v, n) in enumerate(zip(got.column("voter").to_pylist(), got.column("n").to_pylist(), strict=True)):
         x[i, v] = n
-    votes = (x > 0).astype(np.float64)
-    return Model(voters, classifier(np.log2(1 + x), label_model(votes, y).posterior(votes, y)))
+    votes = (x > 0).astype(np.float32)
+    return Model(voters, classifier(np.log2(1 + x), label_model(votes, voters.polarity()).posterior(votes)))
 
 
 def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of docs, from its whole text alone.
 
-    Null and empty texts get the score of a text on which no voter fires; null ids are scored, held out by
-    the empty text's remainder; repeated rows give repeated results. With labels of one class or none, the
-    score is the share of label 1 (one half without any). Other columns are not looked at.
+    Null and empty texts get the score of a text on which the clean voters alone fire; long texts are read whole; null ids
+    are scored, held out by the empty text's remainder; repeated rows and equal texts give equal results. With
+    fewer than two labels of either class, the score is the share of label 1 (one half without any). An empty
+    table gives no rows; other columns are not looked at.
     """
     model = learnt(docs, labels, rows)
 

@@ -60,10 +60,37 @@ def test_accepted_keeps_rows_and_columns(spark):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in quality.score(docs, labels).where("predicted = 1").collect()}
 
 
-def test_label_model_discounts_copies_of_a_voter():
-    rng = np.random.default_rng(6)
-    y = (rng.random(3000) < 0.3).astype(float)
-    a, b = (np.where(y > 0, rng.random(3000) < 0.7, rng.random(3000) < 0.05).astype(float) for _ in range(2))
-    model = toxicity.label_model(np.stack([a, a, b], axis=1), y)
-    assert abs(model.fires[1, 0] - 0.7) < 0.06 and abs(model.fires[0, 0] - 0.05) < 0.03
-    assert model.weight[0] < 0.6 and model.weight[2] > 0.9
+def synthetic(n, toxic, rng):
+    """Votes of a toxic voter and its copy, two more toxic ones and a clean one that abstain at random."""
+    y = rng.random(n) < toxic
+    fire = lambda p, q: np.where(y, rng.random(n) < p, rng.random(n) < q)
+    a, b, c, clean = fire(0.7, 0.05), fire(0.6, 0.03), fire(0.5, 0.1), fire(0.08, 0.8)
+    return y, np.stack([a, a, b, c, clean], axis=1).astype(float), np.array([1, 1, 1, 1, -1.0])
+
+
+@pytest.mark.parametrize("toxic", [0.1, 0.3])
+def test_label_model_finds_accuracies_without_labels(toxic):
+    y, votes, polarity = synthetic(8000, toxic, np.random.default_rng(6))
+    model = toxicity.label_model(votes, polarity)
+    assert np.allclose(model.fires[1], [0.7, 0.7, 0.6, 0.5, 0.08], atol=0.08) and np.allclose(model.fires[0], [0.05, 0.05, 0.03, 0.1, 0.8], atol=0.04)
+    assert abs(model.prior - toxic) < 0.04
+    assert model.weight[0] < 0.65 and model.weight[1] < 0.65 and model.weight[2] > 0.8 and model.weight[4] > 0.8
+    found = model.posterior(votes) > 0.5
+    assert (found == y).mean() > 0.94
+
+
+def test_dependence_has_both_signs():
+    y, votes, _ = synthetic(4000, 0.3, np.random.default_rng(7))
+    votes = np.concatenate([votes, 1 - votes[:, :1]], axis=1)  # a voter that never votes with the first
+    q = y.astype(float)
+    fires = np.stack([votes[~y].mean(axis=0), votes[y].mean(axis=0)])
+    c = toxicity.dependence(votes, q, fires)
+    assert c[0, 1] > 0.99 and c[0, 5] < -0.99 and abs(c[0, 2]) < 0.1
+
+
+def test_toxic_documents_are_found(spark):
+    sf = "/root/testdata/sf0.1"
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null").collect()}
+    rows = [(r.predicted, truth[r.doc_id]) for r in queries()["op5_toxicity"](spark, sf).where("held_out").collect() if r.doc_id in truth]
+    caught = sum(p and t for p, t in rows)
+    assert caught >= 0.9 * sum(t for _, t in rows) and caught >= 0.95 * sum(p for p, _ in rows)
