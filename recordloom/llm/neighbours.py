@@ -3,7 +3,7 @@
 Each tree hashes a vector to a string of BITS random-hyperplane bits and keeps a shard's strings in a
 sorted array, where the strings that share a prefix are neighbours. A query descends every tree to its
 longest matching prefix, then all trees ascend together, a bit at a time, until the ranges of equal
-prefixes hold enough candidates. Candidates are ranked by exact distance. Every row is indexed, in the
+prefixes hold enough different candidates, a number that grows more slowly than the shard. Candidates are ranked by exact distance. Every row is indexed, in the
 shard of the task that reads it; shards answer alone and their best answers are merged.
 """
 
@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-NEAREST, TREES, BITS = 10, 96, 32
-#: Ascent ends when a query's ranges over all trees hold this share of the shard, repeats included, and LEAST strings.
-SHARE, LEAST = 0.6, 1500
-#: Vectors of a shard; bytes of queries that are broadcast at once.
-SHARD, BLOCK_BYTES = 16384, 16 << 20
+NEAREST, TREES, BITS = 10, 256, 24
+#: Ascent ends when a query has FACTOR * n ** POWER different candidates, n being the vectors of the shard. Hash strings of
+#: independent vectors, the worst case, need a power of that size; vectors in clusters would do with less.
+FACTOR, POWER = 1.9, 0.8
+#: Vectors of a shard; bytes of queries that are broadcast at once; trees that ascend between two counts.
+SHARD, BLOCK_BYTES, STEP = 65536, 16 << 20, 8
 SEED = 20
 
 
@@ -42,43 +43,65 @@ def clean_vectors(column: pa.Array | pa.ChunkedArray) -> dict[int, tuple[np.ndar
     return {d: (np.array(r), np.array(v)) for d, (r, v) in by.items()}
 
 
+def wanted(n: int) -> int:
+    """Different candidates at which the ascent among n vectors ends."""
+    return min(n, int(np.ceil(FACTOR * n**POWER)))
+
+
 class Forest:
     """Sorted arrays of hash strings of a shard's vectors, all of one dimension."""
 
     def __init__(self, vectors: np.ndarray, trees: int = TREES):
         self.vectors, self.trees = vectors, trees
         self.centre = vectors.mean(axis=0)
-        self.planes = np.random.default_rng(SEED).standard_normal((trees, vectors.shape[1], BITS))
+        self.planes = np.random.default_rng(SEED).standard_normal((trees, vectors.shape[1], BITS)).astype(np.float32)
         hashed = self.strings(vectors)
-        self.order = np.argsort(hashed, axis=1, kind="stable")
-        self.sorted = np.take_along_axis(hashed, self.order, axis=1)
+        self.order = np.empty(hashed.shape, np.int32)
+        for t in range(trees):
+            self.order[t] = np.argsort(hashed[t], kind="stable")
+            hashed[t] = hashed[t][self.order[t]]
+        self.sorted = hashed
 
     def strings(self, vectors: np.ndarray) -> np.ndarray:
         """(trees, vectors) hash strings, their first bit the highest."""
-        centred = vectors - self.centre
-        weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
-        return np.stack([((centred @ p) > 0) @ weights for p in self.planes])
-
-    def candidates(self, queries: np.ndarray, share: float = SHARE, least: int = LEAST) -> Iterator[np.ndarray]:
-        """Of each query the rows under its deepest prefixes, of one length in all trees, that hold enough."""
-        n = len(self.vectors)
-        enough = max(least, share * n)
+        centred = (vectors - self.centre).astype(np.float32)
+        out = np.zeros((self.trees, len(vectors)), np.uint32)
+        for t, planes in enumerate(self.planes):
+            for bit in (centred @ planes > 0).T:
+                out[t] = out[t] << np.uint32(1) | bit
+        return out
+
+    def ranges(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(prefix length, tree, query) first and end of the strings that start like each query's, for every length."""
         hashed = self.strings(queries)
-        # descend: only lengths that some tree matches need be tried
         low, high = (np.zeros((BITS + 1, self.trees, len(queries)), np.int32) for _ in range(2))
         for t in range(self.trees):
             for length in range(BITS + 1):
-                first = hashed[t] >> (BITS - length) << (BITS - length)
+                rest = np.uint32(BITS - length)
+                first = hashed[t] >> rest << rest
                 low[length, t] = np.searchsorted(self.sorted[t], first, "left")
-                high[length, t] = np.searchsorted(self.sorted[t], first + (1 << (BITS - length)), "left")
-        held = (high - low).sum(axis=1)  # (length, query)
+                high[length, t] = np.searchsorted(self.sorted[t], first | np.uint32((1 << (BITS - length)) - 1), "right")
+        return low, high
+
+    def candidates(self, queries: np.ndarray, enough: int | None = None) -> Iterator[np.ndarray]:
+        """Of each query the rows under its longest prefixes: all trees at one length, and tree by tree a bit shorter until there are enough."""
+        n = len(self.vectors)
+        enough = wanted(n) if enough is None else min(enough, n)
+        low, high = self.ranges(queries)
+        held = (high - low).sum(axis=1, dtype=np.int64)  # (length, query), repeats included
         for q in range(len(queries)):
-            fits = np.flatnonzero(held[:, q] >= enough)
-            length = int(fits[-1]) if len(fits) else 0
-            mask = np.zeros(n, bool)
-            for t in range(self.trees):
-                mask[self.order[t, low[length, t, q] : high[length, t, q]]] = True
-            yield np.flatnonzero(mask)
+            found, count = np.zeros(n, bool), 0
+            # at lengths whose ranges are too small, repeats included, no count is needed
+            for length in range(int(np.flatnonzero(held[:, q] >= enough)[-1]), -1, -1):
+                for at in range(0, self.trees, STEP):
+                    for t in range(at, min(at + STEP, self.trees)):
+                        found[self.order[t, low[length, t, q] : high[length, t, q]]] = True
+                    count = np.count_nonzero(found)
+                    if count >= enough:
+                        break
+                if count >= enough:
+                    break
+            yield np.flatnonzero(found)
 
 
 def nearest(distance: np.ndarray, ids: np.ndarray, k: int = NEAREST) -> np.ndarray:
@@ -135,8 +158,11 @@ def search(base: DataFrame, queries: DataFrame, k: int = NEAREST) -> DataFrame:
 
     score: Euclidean distance in double precision; ties go to the smaller vec_id. Vectors that are null or
     zero or hold nulls, NaN or infinities take no part, nor do null ids; vectors of different dimensions
-    are never compared. Rows with a query's own id are not its candidates; repeated queries of one id and
-    vector count once. Queries go in blocks of BLOCK_BYTES, each against all of base.
+    are never compared. Rows with a query's own id are not its candidates. Every other row is a candidate of
+    its own, so that an id that several rows of base have can stand at several ranks. Repeated queries of one
+    id and vector count once; different vectors under one query id share one ranking, of the rows nearest to
+    any of them. Empty base or queries give no rows; extra columns are not looked at. Queries go in blocks of
+    BLOCK_BYTES, each against all of base.
     """
     spark = base.sparkSession
     wanted = queries.where("vec_id is not null and embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").dropDuplicates(["vec_id", "embedding"])
