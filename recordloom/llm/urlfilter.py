@@ -14,13 +14,14 @@ from .common import drop_written, written
 
 #: Fixed values: (verdict, host, path).
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
-DAMPING, ROUNDS, RATIO, DIGITS = 0.85, 10, 1.0, 12
-#: Share of a host's own mass below which a round's gain ends the rounds, and the most rounds until then. ROUNDS is that of sql().
-SETTLED, MOST_ROUNDS = 1e-11, 1000
+DAMPING, RATIO, DIGITS = 0.85, 1.0, 12
+#: Share of a host's own mass below which a round's gain ends the rounds, and the most rounds until then; sql() goes on as long as a double can tell.
+SETTLED, MOST_ROUNDS, SQL_ROUNDS = 1e-11, 1000, 230
 #: Masses that differ by less than this share of themselves are equal. Masses are compared as they are, and rounded only to be reported.
 TIE = 1e-9
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK = r"""href\s*=\s*["']((?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^"'\s>]*)"""
+#: An attribute's name in either case; its value in quotes or bare.
+LINK = r"""(?i)\bhref\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""
 
 
 def _after(url: Column) -> Column:
@@ -102,8 +103,8 @@ def filtered(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     """One row per row of pages: (page_id, host, path, rule, verdict, trust, distrust).
 
     verdict: the longest fitting rule's; without one, block if links tell more distrust than trust of the
-    host, else allow. Hosts that no seed reaches, and urls without a host, are allowed. Null urls have an
-    empty host and path, null html has no links; null ids and repeated rows are judged like others (links
+    host, else allow. Equal masses allow. Hosts that no seed reaches, and urls without a host, are allowed.
+    Null urls have an empty host and path, null html has no links, html of any length is read whole; null ids and repeated rows are judged like others (links
     of repeated pages count again); an empty table gives no rows; other columns are not looked at.
     """
     rows = judged(pages, rules)
@@ -123,15 +124,15 @@ def sql() -> str:
     steps = []
     for kind, src, dst in (("allow", "src", "dst"), ("block", "dst", "src")):
         steps.append(f"{kind}_w AS (SELECT {src} AS src, {dst} AS dst, n / sum(n) OVER (PARTITION BY {src}) AS w FROM edges)")
-        steps.append(f"{kind}_0 AS (SELECT host, {kind}s / (SELECT sum({kind}s) FROM counts) AS mass FROM counts WHERE {kind}s > 0)")
-        for k in range(ROUNDS):
-            steps.append(
-                f"{kind}_{k + 1} AS (SELECT host, sum(mass) AS mass FROM (SELECT e.dst AS host, {DAMPING} * e.w * r.mass AS mass FROM {kind}_w e JOIN {kind}_{k} r ON e.src = r.host"
-                f" UNION ALL SELECT host, {1 - DAMPING} * mass FROM {kind}_0) GROUP BY host)"
-            )
+        # walks of k links, until what is left of their mass is below the last digit of a double
+        steps.append(
+            f"{kind}_walks(k, host, gain) AS (SELECT 0, host, {1 - DAMPING} * {kind}s / (SELECT sum({kind}s) FROM counts) FROM counts WHERE {kind}s > 0"
+            f" UNION ALL SELECT k + 1, dst, sum({DAMPING} * w * gain) FROM {kind}_walks r JOIN {kind}_w e ON e.src = r.host WHERE k < {SQL_ROUNDS} GROUP BY k, dst)"
+        )
+        steps.append(f"{kind}_mass AS (SELECT host, sum(gain) AS mass FROM {kind}_walks GROUP BY host)")
     link = LINK.replace("'", "''")
     return f"""
-WITH rest AS (SELECT page_id, html, {after.format(x="coalesce(url, '')")} AS rest FROM pages),
+WITH RECURSIVE rest AS (SELECT page_id, html, {after.format(x="coalesce(url, '')")} AS rest FROM pages),
 parts AS (SELECT page_id, html, {low.format(x="regexp_extract(rest, '^[^/?#]*')")} AS host,
   regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM rest),
 judged AS (SELECT page_id, html, host, path, {name} AS rule, {verdict} AS ruled FROM parts),
@@ -141,9 +142,8 @@ edges AS (SELECT src, dst, CAST(count(*) AS DOUBLE) AS n FROM pairs WHERE src <>
 counts AS (SELECT host, CAST(count(*) FILTER (ruled = 'allow') AS DOUBLE) AS allows, CAST(count(*) FILTER (ruled = 'block') AS DOUBLE) AS blocks
   FROM judged WHERE ruled IS NOT NULL AND host <> '' GROUP BY host),
 {", ".join(steps)},
-hosts AS (SELECT coalesce(a.host, b.host) AS host, round(coalesce(a.mass, 0), {DIGITS}) AS trust, round(coalesce(b.mass, 0), {DIGITS}) AS distrust
-  FROM allow_{ROUNDS} a FULL JOIN block_{ROUNDS} b ON a.host = b.host)
-SELECT j.page_id, j.host, j.path, j.rule, coalesce(j.ruled, CASE WHEN h.distrust > {RATIO} * h.trust THEN 'block' ELSE 'allow' END) AS verdict,
-  coalesce(h.trust, 0) AS trust, coalesce(h.distrust, 0) AS distrust
+hosts AS (SELECT coalesce(a.host, b.host) AS host, coalesce(a.mass, 0) AS trust, coalesce(b.mass, 0) AS distrust FROM allow_mass a FULL JOIN block_mass b ON a.host = b.host)
+SELECT j.page_id, j.host, j.path, j.rule, coalesce(j.ruled, CASE WHEN h.distrust > {RATIO * (1 + TIE)} * h.trust THEN 'block' ELSE 'allow' END) AS verdict,
+  round(coalesce(h.trust, 0), {DIGITS}) AS trust, round(coalesce(h.distrust, 0), {DIGITS}) AS distrust
 FROM judged j LEFT JOIN hosts h ON j.host = h.host
 """

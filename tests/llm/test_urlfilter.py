@@ -53,7 +53,7 @@ def test_links_carry_trust_and_distrust(spark):
             edges.setdefault(src, {}).setdefault(dst, 0)
             edges[src][dst] += 1
     rank = seed = {"good.net": 1.0}
-    for _ in range(urlfilter.ROUNDS):
+    for _ in range(300):
         new = {h: (1 - urlfilter.DAMPING) * m for h, m in seed.items()}
         for s, out in edges.items():
             for d, n in out.items():
@@ -89,3 +89,25 @@ def test_verdicts_do_not_depend_on_the_size_of_masses(spark):
     assert got["liker"].distrust == 0 and got["liker"].blocked and got["bulk"].blocked and not got["good"].blocked
     edges = spark.createDataFrame([("good", "even", 1), ("even", "bad", 1)], "src string, dst string, n long")
     assert not {r.host: r.blocked for r in urlfilter.trust(judged, edges).collect()}["even"]
+
+
+def test_links_of_any_case_and_without_quotes(spark):
+    forms = ['<A HREF="https://bad.com/x">', "<a href=https://bad.com/x>", "<a Href = 'HTTP://BAD.com/x'>", "<a class=x href=//bad.com>", "<link href='//bad.com/y'/>" + "z" * 3_000_000]
+    data = [("http://bad.com/en/1", None)] + [(f"http://h{i}.io/", f) for i, f in enumerate(forms)] + [("http://h9.io/", "xhref=https://bad.com/ <a href='/bad.com'>")]
+    got = {r.host: r.verdict for r in urlfilter.filtered(rows(spark, data)).collect()}
+    assert [got[f"h{i}.io"] for i in (0, 1, 2, 3, 4, 9)] == ["block"] * 5 + ["allow"]
+
+
+def test_sql_says_the_same_of_linked_hosts(spark, tmp_path):
+    import duckdb
+
+    chain = [(f"http://h{k}.io/", link(f"h{k - 1}.io", "h1.io")) for k in range(2, 12)]
+    data = [("http://bad.com/en/1", None), ("http://good.net/de/1", "<a HREF=//h9.io/>" + link("h5.io", "h2.io")), ("http://h1.io/", link("bad.com")), *chain, (None, None)]
+    df = rows(spark, data).select("page_id", "url", "html")
+    df.coalesce(1).write.parquet(f"{tmp_path}/pages")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages/*.parquet')")
+    cur = con.execute(urlfilter.sql())
+    names = [c[0] for c in cur.description]
+    show = lambda r: str([f"{v:.9f}" if isinstance(v, float) else v for v in r])
+    assert sorted(map(show, cur.fetchall())) == sorted(show(r) for r in urlfilter.filtered(df).select(*names).collect())
