@@ -18,8 +18,6 @@ from .known_licenses import FULL_TEXTS, LICENSES, SPELLINGS
 
 COPYRIGHT = r"[^a-z0-9\n]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4})|\(c\)[ \t]*[0-9]{4}|©|all rights reserved)[^\n]*"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\u2010-\u2015\u2018-\u201F\u2022\u00A0\u00AB\u00B7\u00BB]+"
-#: Lines that sql() looks up: of this many characters at most, with one of these words.
-NOTICE_CHARS, NOTICE = 1000, r"(?i)licen[cs]e|copying|public domain"
 
 
 def canonical(text: Column) -> Column:
@@ -62,8 +60,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     license_id: the known licence that the entire text is, else null. notices: licence ids of its lines,
     distinct and sorted, joined by commas, null if there are none; n_notices counts the lines. A null text
-    counts as empty, whose digest no licence has. Null ids and repeated rows are scanned like others; an
-    empty table gives no rows; other columns are not looked at.
+    counts as empty, whose digest no licence has; texts and lines of any length are read whole; no two
+    licences share a digest, so nothing ties. Null ids and repeated rows are scanned like others; an empty
+    table gives no rows; other columns are not looked at.
     """
     spark = docs.sparkSession
     digests = spark.createDataFrame(sorted((known() | {d: name for name, d in FULL_TEXTS}).items()), "canonical_sha256 string, license_id string")
@@ -89,18 +88,16 @@ def sql() -> str:
             out = f"replace({out}, {text(spelling)}, {text(other)})"
         return f"sha256({out})"
 
-    rows = ", ".join(f"({text(d)}, {text(n)})" for d, n in sorted(known().items()))
+    values = lambda table: ", ".join(f"({text(d)}, {text(n)})" for d, n in sorted(table.items()))
     return f"""
-WITH known(canonical_sha256, license_id) AS (VALUES {rows}),
-lines AS (
-  SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
-  WHERE length(line) <= {NOTICE_CHARS} AND regexp_matches(line, {text(NOTICE)})
-),
+WITH known(canonical_sha256, license_id) AS (VALUES {values(known())}),
+entire(canonical_sha256, license_id) AS (VALUES {values(known() | {d: name for name, d in FULL_TEXTS})}),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
 notices AS (
   SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices, count(*) AS n_notices
   FROM (SELECT doc_id, {form("line")} AS canonical_sha256 FROM lines) JOIN known USING (canonical_sha256) GROUP BY doc_id
 )
 SELECT d.doc_id, d.canonical_sha256, k.license_id, n.notices, CAST(coalesce(n.n_notices, 0) AS BIGINT) AS n_notices
 FROM (SELECT doc_id, {form("text")} AS canonical_sha256 FROM documents) d
-LEFT JOIN known k USING (canonical_sha256) LEFT JOIN notices n USING (doc_id)
+LEFT JOIN entire k USING (canonical_sha256) LEFT JOIN notices n USING (doc_id)
 """
