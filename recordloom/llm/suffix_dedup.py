@@ -4,8 +4,8 @@ Every 200-byte window is given to the one of its 32-byte strings with the least
 equal windows have equal anchors at equal places. The windows of one anchor in one document are a
 region, a stretch of text a little longer than a window. Only regions whose anchor occurs twice or
 more can hold repeats. Byte-identical regions collapse to one text with a count; the texts are dealt
-to shards by anchor, so that equal windows meet, and a shard finds them with a suffix array and
-adjacent common prefixes. What a region learns goes back to its documents, which drop covered bytes.
+to shards by anchor (those of a frequent anchor by pairs of blocks), so that equal windows meet, and a
+shard finds them with a suffix array and adjacent common prefixes. What a region learns goes back to its documents, which drop covered bytes.
 """
 
 from __future__ import annotations
@@ -26,7 +26,9 @@ from .suffixes import DEPTH, repeated
 ANCHOR = 32
 #: Text that a shard sorts at once; a document's windows that are hashed at once.
 SHARD_BYTES, STRETCH = 6 << 20, 4 << 20
-#: Distinct regions of one anchor beyond which its windows are dealt out one by one.
+#: Distinct regions of an anchor that are sorted together; a larger anchor's are cut into such blocks, which meet pairwise.
+BLOCK = 1024
+#: Distinct regions of one anchor beyond which its windows are dealt out one by one: pairs of blocks grow with their square.
 HOT = 40_000
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15)]
 _PLACE = np.uint64((1 << 24) - 1)
@@ -84,9 +86,9 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (text, parts) to the texts of their regions."""
     for batch in slices(batches, 0):
-        rows = [(p["h"], p["digest"], p["n"] > 1, raw[p["first"] : p["first"] + p["size"]]) for raw, parts in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True) for p in parts]
-        h, digest, many, text = zip(*rows, strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(digest, pa.int64()), pa.array(many), pa.array(text, pa.binary())], names=["h", "digest", "many", "text"])
+        rows = [(p["h"], p["digest"], p["n"] > 1, p["blocks"], raw[p["first"] : p["first"] + p["size"]]) for raw, parts in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True) for p in parts]
+        h, digest, many, blocks, text = zip(*rows, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(digest, pa.int64()), pa.array(many), pa.array(blocks, pa.int32()), pa.array(text, pa.binary())], names=["h", "digest", "many", "blocks", "text"])
 
 
 def runs(flags: np.ndarray) -> list[int]:
@@ -99,22 +101,23 @@ def runs(flags: np.ndarray) -> list[int]:
 
 
 def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, digest, many, text) in order of h to the covered runs of the regions that have some."""
+    """Rows (h, side, digest, many, text) in order of h and side to the covered runs of the regions that have some."""
 
     def shard(rows: list[tuple]) -> pa.RecordBatch:
-        found = [(h, digest, runs(flags | many)) for (h, digest, many, _), flags in zip(rows, repeated([r[3] for r in rows]), strict=True) if many or flags.any()]
+        found = [(h, digest, runs(flags | many)) for (h, _, digest, many, _), flags in zip(rows, repeated([r[4] for r in rows]), strict=True) if many or flags.any()]
         h, digest, covered = zip(*found, strict=True) if found else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(digest, pa.int64()), pa.array(covered, pa.list_(pa.int32()))], names=["h", "digest", "covered"])
 
     held: list[tuple] = []
     size = 0
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-            if size >= SHARD_BYTES and row[0] != held[-1][0]:  # an anchor's regions stay together
+        for row in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+            # an anchor's regions stay together; two pairs of its blocks share regions and must not meet
+            if held and (size >= SHARD_BYTES if row[0] != held[-1][0] else row[1] != held[-1][1]):
                 yield shard(held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[3])
+            size += len(row[4])
     if held:
         yield shard(held)
 
@@ -145,7 +148,7 @@ COVERED = "h long, digest long, covered array<int>"
 
 def _by_document(classes: DataFrame) -> DataFrame:
     """The regions to cut from each document: as many as it is long allows."""
-    return classes.groupBy("id", "mark").agg(F.collect_list(F.struct("h", "digest", "n", "first", "size")).alias("parts"))
+    return classes.groupBy("id", "mark").agg(F.collect_list(F.struct("h", "digest", "n", "first", "size", "blocks")).alias("parts"))
 
 
 def _hot(classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -170,13 +173,17 @@ def covered_regions(docs: DataFrame, hot: int | None = None) -> DataFrame:
     _forget(spark)
     each = written(regions.groupBy("h", "digest").agg(F.count("*").alias("n"), F.min(F.struct("id", "mark", "first", "size")).alias("one")).select("h", "digest", "n", "one.*"), "each")
     groups = written(each.groupBy("h").agg(F.count("*").alias("distinct")), "groups")
-    classes = written(each.join(groups, "h"), "classes")
+    classes = written(each.join(groups, "h").withColumn("blocks", F.ceil(F.col("distinct") / BLOCK).cast("int")), "classes")
     drop_written(each)
     drop_written(groups)
     _forget(spark)
     usual = _by_document(classes.where(F.col("distinct") <= hot))
-    cut = usual.join(docs, ["id", "mark"]).select("text", "parts").mapInArrow(_cut, "h long, digest long, many boolean, text binary")
-    covered = written(cut.repartition("h").sortWithinPartitions("h").mapInArrow(_sort, COVERED), "covered")
+    cut = usual.join(docs, ["id", "mark"]).select("text", "parts").mapInArrow(_cut, "h long, digest long, many boolean, blocks int, text binary")
+    mine = F.pmod(F.xxhash64("digest", "h"), F.col("blocks").cast("long")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != mine)
+    sides = F.when(F.col("blocks") <= 2, F.array(F.lit(0))).otherwise(F.transform(others, lambda x: F.least(x, mine) * F.col("blocks") + F.greatest(x, mine)))
+    dealt = cut.select("h", F.explode(sides).alias("side"), "digest", "many", "text").repartition("h", "side").sortWithinPartitions("h", "side")
+    covered = written(dealt.mapInArrow(_sort, COVERED), "covered")
     _forget(spark)
     if classes.where(F.col("distinct") > hot).limit(1).count():
         covered = covered.unionByName(written(_hot(classes.where(F.col("distinct") > hot), docs), "covered"))
@@ -189,7 +196,10 @@ def covered_regions(docs: DataFrame, hot: int | None = None) -> DataFrame:
 
 
 def _forget(spark) -> None:
-    """Let go of the shuffle files of finished steps, whose results are written."""
+    """Let go of the shuffle files of finished steps, whose results are written.
+
+    Spark deletes them once the driver's garbage collection has seen their plans go; nothing but disk depends on it.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
@@ -238,10 +248,12 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
     """The rows of docs with what is left of their texts (characters that lost a byte go) and its length in chars_col.
 
-    Rows of whose text nothing is left are dropped.
+    Rows of whose text nothing is left are dropped; null and empty texts lose nothing and stay as they are, in
+    every column. Long texts are whole; repeated rows are documents of their own, so that each repeats the
+    other; null ids count as one more id; equal texts of 200 bytes or more all go. An empty table stays empty.
     """
     names, kinds = docs.columns, docs.schema
-    keyed = docs.select(*_keyed(docs, id_col, text_col), *(F.col(c).alias(f"__{i}") for i, c in enumerate(names) if c != text_col))
+    keyed = docs.select(*_keyed(docs, id_col, text_col), F.col(text_col).isNull().alias("__null"), *(F.col(c).alias(f"__{i}") for i, c in enumerate(names) if c != text_col))
     found = covered_regions(keyed.select("id", "mark", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,8 +265,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             left = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *batch.columns[1:]], names=batch.schema.names)
             yield left.filter(stays)
 
-    rows = keyed.join(found, ["id", "mark"], "left").select("text", "parts", *(f"__{i}" for i, c in enumerate(names) if c != text_col))
-    schema = ", ".join(["text string", f"parts {rows.schema['parts'].dataType.simpleString()}", *(f"__{i} {kinds[c].dataType.simpleString()}" for i, c in enumerate(names) if c != text_col)])
+    rows = keyed.join(found, ["id", "mark"], "left").select("text", "parts", "__null", *(f"__{i}" for i, c in enumerate(names) if c != text_col))
+    schema = ", ".join(["text string", f"parts {rows.schema['parts'].dataType.simpleString()}", "__null boolean", *(f"__{i} {kinds[c].dataType.simpleString()}" for i, c in enumerate(names) if c != text_col)])
     out = rows.mapInArrow(run, schema)
     chars = lambda c, i: F.when(F.col("parts").isNotNull(), F.length("text").cast(kinds[c].dataType)).otherwise(F.col(f"__{i}"))
-    return out.select(*(F.col("text").alias(c) if c == text_col else (chars(c, i) if c == chars_col else F.col(f"__{i}")).alias(c) for i, c in enumerate(names)))
+    return out.select(*(F.when(~F.col("__null"), F.col("text")).alias(c) if c == text_col else (chars(c, i) if c == chars_col else F.col(f"__{i}")).alias(c) for i, c in enumerate(names)))

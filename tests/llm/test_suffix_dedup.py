@@ -40,9 +40,10 @@ def texts(rng):
     return out
 
 
-@pytest.mark.parametrize("hot", [None, 3])
-def test_passages_in_many_texts(spark, hot, monkeypatch):
+@pytest.mark.parametrize(("hot", "block"), [(None, 1024), (3, 1024), (None, 2), (None, 5)])
+def test_passages_in_many_texts(spark, hot, block, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 5000)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
     docs = texts(random.Random(12))
     same(suffix_dedup.removed(spark.createDataFrame(docs, "doc_id long, text string"), hot=hot), docs)
 
@@ -59,6 +60,7 @@ def test_odd_rows(spark):
     left = {}
     for r in kept.collect():
         left.setdefault(r.doc_id, []).append((r.text, r.n_chars))
+    assert left[1] == [(None, 5)] and left[2] == [("", 5)] and left[None][-1] == (None, 5)
     assert left[6] == [("!", 1)] and left[8] == [("same", 5)] * 2 and 9 not in left and 4 not in left and left[7][0][0] == "ab" * 90
 
 
