@@ -237,8 +237,10 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 def predict(docs: DataFrame, docs_limit: int = FIT_DOCS) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row of docs, from its whole text; learnt from docs themselves.
 
-    Rows with a null id or language are predicted but not learnt from; repeated rows give repeated results;
-    columns other than doc_id, text and lang are not looked at.
+    Rows with a null id or language are predicted but not learnt from; null texts and texts without a letter
+    are ``und`` with score 0, as are all if nothing was learnt; long texts are read whole; ties go to the
+    language that sorts first; repeated rows give repeated results; an empty table gives no rows; columns
+    other than doc_id, text and lang are not looked at.
     """
     told = identify(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), learnt(docs.select("doc_id", "text", "lang"), docs_limit))
     return told.select(F.col("id").alias("doc_id"), (remainder(F.col("id"), 5) == 0).alias("held_out"), "lang_pred", "score")

@@ -168,7 +168,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     A document is its token ids and then id END, so null and empty texts are one token. Documents
     longer than a sequence are cut into whole lengths from their end; their first piece may be shorter.
     tokenizer: the path of a byte-level vocabulary that every executor can read. Repeated rows and null
-    ids are packed like others; an empty table has no pieces; other columns are not looked at.
+    ids are packed like others; pieces of equal length go in the order in which they are read, and of equal
+    bins the one opened last is taken; an empty table has no pieces; other columns are not looked at.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     pieces = written(map_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), _pieces(tokenizer, length, open_bins), PIECE.format(id=kind)), "pieces")

@@ -180,9 +180,10 @@ def _scores(model: Discriminant | float):
 def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of docs, from its whole text alone.
 
-    Null and empty texts get the score of an empty text; null ids are scored and not held out unless the
-    empty text's remainder is 0; repeated rows give repeated results. With no labels of both classes the
-    score is the share of label 1 (one half without any). Other columns are not looked at.
+    Null and empty texts get the score of an empty text; long texts are measured whole; null ids are scored
+    and not held out unless the empty text's remainder is 0; repeated rows and equal texts give equal results.
+    With fewer than five labels of either class the score is the share of label 1 (one half without any). An
+    empty table gives no rows; other columns are not looked at.
     """
     model = learnt(docs, labels, rows)
     scored = map_texts(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), _scores(model), "id long, score double")
@@ -190,7 +191,11 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame
 
 
 def accepted(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of docs whose text the classifier does not reject; a map over docs, without a shuffle."""
+    """The rows of docs whose text the classifier does not reject, with all their columns; a map over docs, without a shuffle.
+
+    Scores are those of score(), so nulls, empty and long texts, repeated rows, few labels and empty tables are
+    as there: rows that share a text stay or go together.
+    """
     model = learnt(docs, labels, rows)
     at = docs.columns.index("text")
 
