@@ -64,6 +64,7 @@ class Thresholds:
     grid_step: float = 0.01
     use_score_breakpoints: bool = True
     max_breakpoints: int = 400
+    min_macro_precision: float = 0.0
 
 
 @dataclass

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import functools
+import json
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -104,6 +105,15 @@ def normalize_country(value: Column, aliases: dict[str, str] | None = None, fold
     return F.coalesce(F.try_element_at(lookup, known), known)
 
 
+def load_aliases(spark: SparkSession, path: str) -> dict[str, str]:
+    """Country aliases of a JSON file of raw values, keyed by their normalised form; the file may be anywhere that Spark reads."""
+    raw = json.loads("".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
+    if not raw:
+        return {}
+    keys = spark.createDataFrame(list(raw.items()), "k string, v string").select(normalize_country(F.col("k")).alias("k"), "v")
+    return {r.k: r.v for r in keys.collect()}
+
+
 def ascii_tokens(text: Column, least: int = 1) -> Column:
     """Runs of a-z and 0-9 of at least so many characters."""
     return F.regexp_extract_all(F.lower(text), F.lit(f"[a-z0-9]{{{least},}}" if least > 1 else "[a-z0-9]+"), F.lit(0))

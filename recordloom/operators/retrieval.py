@@ -90,9 +90,12 @@ class ScaleIndex:
         frequency = T.document_frequency(pool, "p", self.tokens()).crossJoin(F.broadcast(rows))
         self.terms = T.idf_scale(frequency, F.col("n_rows"), least, most)
         self.postings = T.postings(pool, "p", self.tokens()).join(self.terms, "term").select("p", "term", "tf", "df", "idf")
+        self.stored_norms: DataFrame | None = None
 
     def norms(self) -> DataFrame:
-        """(p, norm): every occurrence of a term adds its squared idf."""
+        """(p, norm): every occurrence of a term adds its squared idf. Read, if the index was loaded."""
+        if self.stored_norms is not None:
+            return self.stored_norms
         return self.postings.groupBy("p").agg(F.sqrt(F.sum(F.col("tf") * F.col("idf") * F.col("idf"))).alias("norm"))
 
     def chosen(self, queries: DataFrame, budget: int, most_terms: int = 3) -> DataFrame:

@@ -16,6 +16,7 @@ from ..config import Config, Models
 from ..operators import features as X
 from ..operators import retrieval as R
 from ..operators import select as S
+from ..sources.sinks import load_index, save_index
 from ..sources.workspace import kept
 from . import metrics as M
 
@@ -49,11 +50,26 @@ def legacy_candidates(queries: DataFrame, pool: DataFrame, config: Config | None
     return S.capped_legacy(S.union_legacy(legacy_strategies(queries, pool, c)), c.legacy.max_candidates_per_s1, c.legacy.min_candidates_per_s1)
 
 
-def scale_strategies(queries: DataFrame, pool: DataFrame, config: Config | None = None) -> dict[str, DataFrame]:
-    """Indexed generation: strategy name to (q, p, score)."""
+def indexes(pool: DataFrame, config: Config | None = None) -> tuple[R.ScaleIndex, R.ScaleIndex]:
+    """The name and the address index of a pool."""
     c = (config or Config()).scale
-    name = R.ScaleIndex(pool, "name_core", R.C.NAME_STOP, c.min_df, c.max_df)
-    address = R.ScaleIndex(pool, "addr_core", R.C.ADDRESS_STOP, c.min_df, c.max_df)
+    return R.ScaleIndex(pool, "name_core", R.C.NAME_STOP, c.min_df, c.max_df), R.ScaleIndex(pool, "addr_core", R.C.ADDRESS_STOP, c.min_df, c.max_df)
+
+
+def saved_indexes(pool: DataFrame, path: str, config: Config | None = None, build: bool = False) -> tuple[R.ScaleIndex, R.ScaleIndex]:
+    """The indexes stored at path, written there first if asked: nothing of the pool is tokenised when they are only read."""
+    found = indexes(pool, config)
+    for index, name in zip(found, ("name", "address"), strict=True):
+        if build:
+            save_index(index, f"{path}/{name}")
+        load_index(pool.sparkSession, f"{path}/{name}", index)
+    return found
+
+
+def scale_strategies(queries: DataFrame, pool: DataFrame, config: Config | None = None, using: tuple[R.ScaleIndex, R.ScaleIndex] | None = None) -> dict[str, DataFrame]:
+    """Indexed generation: strategy name to (q, p, score). using: indexes that are there already."""
+    c = (config or Config()).scale
+    name, address = using or indexes(pool, config)
     return {
         "exact_normalized": R.exact_key(queries, pool, "name_norm", c.exact_block_cap, least=1),
         "exact_core": R.exact_key(queries, pool, "name_core", c.exact_block_cap, least=1),
@@ -64,10 +80,10 @@ def scale_strategies(queries: DataFrame, pool: DataFrame, config: Config | None
     }
 
 
-def scale_candidates(queries: DataFrame, pool: DataFrame, config: Config | None = None, cap: int | None = None) -> DataFrame:
+def scale_candidates(queries: DataFrame, pool: DataFrame, config: Config | None = None, cap: int | None = None, using: tuple[R.ScaleIndex, R.ScaleIndex] | None = None) -> DataFrame:
     """(q, p, mask, rule_score, content_score, rank): ranked, and capped unless cap is 0."""
     c = config or Config()
-    rows = S.ranked(S.union_scale(scale_strategies(queries, pool, c)))
+    rows = S.ranked(S.union_scale(scale_strategies(queries, pool, c, using)))
     cap = c.scale.max_candidates_per_s1 if cap is None else cap
     return rows if cap <= 0 else rows.where(F.col("rank") < max(cap, c.scale.min_candidates_per_s1))
 
@@ -127,17 +143,28 @@ class Validation:
     points: dict[str, dict]
     winner: str
 
+    def report(self, truth: DataFrame, universe: DataFrame, model: PipelineModel | None = None, folds_: int = 4, seed: int = 42) -> dict:
+        """Models from the best down with their measures, F0.5 of every fold of entities at the winner's pooled threshold, and a fitted winner's importances."""
+        order = sorted(self.points, key=lambda n: (-self.points[n]["f05"], -self.points[n]["macro_precision"]))
+        each = M.per_entity(M.decided(self.scores[self.winner], self.threshold), truth, universe)
+        by_fold = folds(each, folds_, seed).groupBy("fold").agg(F.avg("f05").alias("f05")).orderBy("fold").collect()
+        return {"winner": self.winner, "threshold": self.threshold, "models": [{"name": n, **self.points[n]} for n in order], "folds": {r.fold: r.f05 for r in by_fold}, "importances": importances(model) if model else []}
+
     @property
     def threshold(self) -> float:
         return self.points[self.winner]["threshold"]
 
 
 def thresholds_of(told: DataFrame, truth: DataFrame, universe: DataFrame, config: Config) -> dict:
-    """The best threshold of a grid or of the scores themselves."""
+    """The best threshold of a grid and, if asked, of the scores themselves, among those of enough macro precision; of all if none has it."""
     t = config.thresholds
-    spark = told.sparkSession
-    points = M.breakpoints(told, truth, universe, t.max_breakpoints) if t.use_score_breakpoints else M.sweep(told, truth, universe, M.grid(spark, t.grid_start, t.grid_stop, t.grid_step))
-    return M.best(points).first().asDict()
+    measures = ("threshold", "f05", "macro_precision", "macro_recall", "n_predicted", "tp")
+    points = M.sweep(told, truth, universe, M.grid(told.sparkSession, t.grid_start, t.grid_stop, t.grid_step)).select(*measures)
+    if t.use_score_breakpoints:
+        points = points.unionByName(M.breakpoints(told, truth, universe, t.max_breakpoints).select(*measures))
+    points = kept(points, "points")
+    precise = points.where(F.col("macro_precision") >= t.min_macro_precision)
+    return M.best(points if precise.isEmpty() else precise).first().asDict()
 
 
 def cross_validate(rows: DataFrame, truth: DataFrame, universe: DataFrame, config: Config | None = None) -> Validation:

@@ -35,7 +35,7 @@ def numbered(df: DataFrame, path: str) -> DataFrame:
     for r in counts:
         starts[r.part], total = total, total + r.n
     offsets = spark.createDataFrame(list(starts.items()) or [(0, 0)], "__part long, __start long")
-    return rows.join(F.broadcast(offsets), part == F.col("__part")).withColumn("rowid", (F.col("__start") + place).cast("int")).drop("__at", "__part", "__start")
+    return rows.join(F.broadcast(offsets), part == F.col("__part")).withColumn("rowid", (F.col("__start") + place).cast("long")).drop("__at", "__part", "__start")
 
 
 def write(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> dict:
@@ -56,7 +56,7 @@ def read(spark: SparkSession, path: str, columns: tuple[str, ...] | None = None)
 
 def pool(source2: DataFrame, source3: DataFrame) -> DataFrame:
     """Both stores under pool-wide row numbers, source 2 first, with the source."""
-    n = source2.agg(F.count("*").cast("int").alias("__n"))
+    n = source2.agg(F.count("*").alias("__n"))
     second = source3.crossJoin(F.broadcast(n)).withColumn("rowid", F.col("rowid") + F.col("__n")).drop("__n")
     return source2.withColumn("source", F.lit("S2")).unionByName(second.withColumn("source", F.lit("S3")))
 
