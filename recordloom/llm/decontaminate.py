@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8, written
+from .common import lean, slices, utf8, written
 
 WINDOW, SHARE = 13, 20
 #: Words in a row that a suffix must share with an item to be sorted; shorter matches count only if they are a whole item.
@@ -360,7 +360,7 @@ def _round(docs: DataFrame, items: list[tuple[str, bytes]], every: bool) -> Data
             out = pa.RecordBatch.from_arrays(columns, names=["id", "mark", "n_words", "covered", "items", "longest_match", "matches"])
             yield out if every else out.filter(pa.array(longest > 0))
 
-    return docs.mapInArrow(run, _ROUND)
+    return docs.mapInArrow(lean(run), _ROUND)
 
 
 def _keyed(docs: DataFrame) -> list:
@@ -442,7 +442,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             covered = np.bincount(shard.doc, shard.found(block.value).covered[shard.place], len(shard.n_words))
             yield batch.filter(pa.array((covered == 0) | (SHARE * covered < shard.n_words)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def sql() -> str:

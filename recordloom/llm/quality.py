@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, remainder, utf8
+from .common import lean, map_texts, remainder, utf8
 from .labelled import FIT_ROWS, labelled_texts
 
 FOLDS, THRESHOLD = 5, 0.3
@@ -207,4 +207,4 @@ def accepted(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFr
             found = np.full(len(x), model) if isinstance(model, float) else model.score(x)
             yield batch.filter(pa.array(found >= THRESHOLD))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)

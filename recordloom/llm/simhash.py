@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, written
+from .common import lean, map_texts, written
 from .components import components
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
@@ -227,7 +227,7 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1))
     rows = rows.select("k", "side", "fp", other.alias("other")).select("k", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "fp")
     rows = rows.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
-    return rows.mapInArrow(_compare, "u long, v long")
+    return rows.mapInArrow(lean(_compare), "u long, v long")
 
 
 def rooted(marked: DataFrame) -> DataFrame:

@@ -20,12 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, slices, utf8, written
+from .common import drop_written, lean, slices, utf8, written
 from .suffixes import DEPTH, repeated
 
 ANCHOR = 32
-#: Text that a shard sorts at once; a document's windows that are hashed at once.
-SHARD_BYTES, STRETCH = 6 << 20, 4 << 20
+#: Text that a shard sorts at once; a document's windows that are hashed at once. Either needs some 60 times as much memory.
+SHARD_BYTES, STRETCH = 2 << 20, 1 << 20
 #: Distinct regions of an anchor that are sorted together; a larger anchor's are cut into such blocks, which meet pairwise.
 BLOCK = 1024
 #: Distinct regions of one anchor beyond which its windows are dealt out one by one: pairs of blocks grow with their square.
@@ -153,18 +153,18 @@ def _by_document(classes: DataFrame) -> DataFrame:
 
 def _hot(classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Covered runs of regions whose anchor has more distinct regions than a shard may hold: windows alone are dealt and counted."""
-    rows = written(_by_document(classes).join(texts, ["id", "mark"]).select("text", "parts").mapInArrow(_windows, "h long, digest long, many boolean, at int, window binary"), "windows")
+    rows = written(_by_document(classes).join(texts, ["id", "mark"]).select("text", "parts").mapInArrow(lean(_windows), "h long, digest long, many boolean, at int, window binary"), "windows")
     again = rows.groupBy("window").count().where("count > 1").select("window", F.lit(True).alias("again"))
     told = rows.join(again, "window", "left").withColumn("hit", F.col("many") | F.col("again").isNotNull())
     each = told.groupBy("h", "digest").agg(F.count("*").cast("int").alias("n"), F.collect_list(F.when(F.col("hit"), F.col("at"))).alias("at"))
-    return each.where(F.size("at") > 0).mapInArrow(_joined, COVERED)
+    return each.where(F.size("at") > 0).mapInArrow(lean(_joined), COVERED)
 
 
 def covered_regions(docs: DataFrame, hot: int | None = None) -> DataFrame:
     """docs (id, mark, text binary) to rows (id, mark, parts): the covered runs (first, covered) of each document that has some."""
     hot = hot or HOT
     spark = docs.sparkSession
-    every = written(docs.mapInArrow(_regions, "h long, digest long, id long, mark long, first long, size int"), "regions")
+    every = written(docs.mapInArrow(lean(_regions), "h long, digest long, id long, mark long, first long, size int"), "regions")
     # a table of its own, so that the join below is free to split a hot anchor's rows
     twice = written(every.groupBy("h").agg(F.count("*").alias("regions")).where("regions > 1").select("h"), "anchors")
     regions = written(every.join(twice, "h", "left_semi"), "repeated")
@@ -178,12 +178,12 @@ def covered_regions(docs: DataFrame, hot: int | None = None) -> DataFrame:
     drop_written(groups)
     _forget(spark)
     usual = _by_document(classes.where(F.col("distinct") <= hot))
-    cut = usual.join(docs, ["id", "mark"]).select("text", "parts").mapInArrow(_cut, "h long, digest long, many boolean, blocks int, text binary")
+    cut = usual.join(docs, ["id", "mark"]).select("text", "parts").mapInArrow(lean(_cut), "h long, digest long, many boolean, blocks int, text binary")
     mine = F.pmod(F.xxhash64("digest", "h"), F.col("blocks").cast("long")).cast("int")
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != mine)
     sides = F.when(F.col("blocks") <= 2, F.array(F.lit(0))).otherwise(F.transform(others, lambda x: F.least(x, mine) * F.col("blocks") + F.greatest(x, mine)))
     dealt = cut.select("h", F.explode(sides).alias("side"), "digest", "many", "text").repartition("h", "side").sortWithinPartitions("h", "side")
-    covered = written(dealt.mapInArrow(_sort, COVERED), "covered")
+    covered = written(dealt.mapInArrow(lean(_sort), COVERED), "covered")
     _forget(spark)
     if classes.where(F.col("distinct") > hot).limit(1).count():
         covered = covered.unionByName(written(_hot(classes.where(F.col("distinct") > hot), docs), "covered"))
@@ -241,7 +241,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array(kept, pa.binary())], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     rows = keyed.join(found, ["id", "mark"], "left").select("id", "text", "parts")
-    out = rows.mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = rows.mapInArrow(lean(run), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.select(F.when(F.col("id") != -(1 << 63), F.col("id")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 
 
@@ -267,6 +267,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rows = keyed.join(found, ["id", "mark"], "left").select("text", "parts", "__null", *(f"__{i}" for i, c in enumerate(names) if c != text_col))
     schema = ", ".join(["text string", f"parts {rows.schema['parts'].dataType.simpleString()}", "__null boolean", *(f"__{i} {kinds[c].dataType.simpleString()}" for i, c in enumerate(names) if c != text_col)])
-    out = rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(lean(run), schema)
     chars = lambda c, i: F.when(F.col("parts").isNotNull(), F.length("text").cast(kinds[c].dataType)).otherwise(F.col(f"__{i}"))
     return out.select(*(F.when(~F.col("__null"), F.col("text")).alias(c) if c == text_col else (chars(c, i) if c == chars_col else F.col(f"__{i}")).alias(c) for i, c in enumerate(names)))
