@@ -2,13 +2,16 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from recordloom.functions.text import ascii_tokens, hashed_words, plain_words, strip_accents
+from recordloom.operators import retrieval as R
 from recordloom.operators import search
+from recordloom.operators import select as S
 from recordloom.sources import adapter
 from recordloom.sources.workspace import kept
 from pyspark.sql import functions as F
@@ -93,3 +96,15 @@ def test_truth_of_repeated_texts(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     got = [tuple(r) for r in adapter.truth_pairs(spark, str(tmp_path)).collect()]
     assert len(got) == 31 * 60 and len(set(got)) == 30 * 60
+
+
+def test_pairs_of_the_union_are_dealt_once(spark):
+    """A gather and the ranked union deal pairs by query alone, not by pair."""
+    queries = spark.createDataFrame([(0, "red oak"), (1, "oak mill")], "q long, name_core string")
+    pool = spark.createDataFrame([(0, "oak mill"), (1, "red oak"), (2, "oak")], "p long, name_core string")
+    found = R.name_index(pool).gather(queries, 3000)
+    ranked = S.ranked(S.union_scale({"name_token": found}))
+    for df in (found, ranked):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"hashpartitioning\(q#\d+L, p#", plan) and "REPARTITION_BY_COL" in plan
+    assert ranked.where("rank = 0").count() == 2
