@@ -16,7 +16,7 @@ def measured(candidates: DataFrame, truth: DataFrame, known: DataFrame, configur
     """(name, cap, candidates, query_recall, pair_recall, all_pairs_recall) of each configuration over ranked candidates with ids.
 
     All configurations are columns of one pass over the candidates; a pair of the truth then meets its
-    candidate once. known: (match_id) that the pool has; pairs without leave the recall of pairs.
+    candidate once, by position if the truth has positions. known: (match_id) that the pool has; pairs without leave the recall of pairs.
     """
     rows = S.decided(candidates, {f"__c{i}": how for i, how in enumerate(configurations)})
     named = [(how.name, how.cap, f"__c{i}") for i, how in enumerate(configurations)]
@@ -26,8 +26,9 @@ def measured(candidates: DataFrame, truth: DataFrame, known: DataFrame, configur
         named.append((name, cap, f"__{name}"))
     kept = [c for _, _, c in named]
     counts = rows.agg(*(F.count_if(c).alias(c) for c in kept))
-    pairs = truth.select("entity", "match_id").distinct().join(known.select("match_id").distinct().withColumn("__known", F.lit(1)), "match_id", "left")
-    met = pairs.join(rows.select("entity", "match_id", *kept), ["entity", "match_id"], "left")
+    by = recall.keys(truth)
+    pairs = truth.select(*dict.fromkeys([*recall.PAIR, *by])).distinct().join(known.select("match_id").distinct().withColumn("__known", F.lit(1)), "match_id", "left")
+    met = pairs.join(rows.select(*by, *kept), by, "left")
     each = met.groupBy("entity").agg(F.count("__known").alias("__pairs"), *(F.count_if(F.col("__known").isNotNull() & F.col(c)).alias(c) for c in kept))
     sums = each.agg(
         F.count("*").alias("labelled"),

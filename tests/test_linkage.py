@@ -130,3 +130,20 @@ def test_stream_writes_what_a_batch_generates(spark, world, tmp_path):
     candidates.generate(stream, pool, f"{tmp_path}/out", f"{tmp_path}/check", on_batch=lambda n, df: seen.append(df.count()), once=True).awaitTermination()
     want = linkage.scale_candidates(queries, pool).count()
     assert sum(seen) == spark.read.parquet(f"{tmp_path}/out").count() == want
+
+
+def test_placed_truth_meets_candidates_as_ids_do(spark, tiny):
+    """Truth pairs with positions give the same recall as candidates with ids, and the candidates are dealt without ids."""
+    from recordloom import queries as core
+
+    queries, pool = core.both(spark, tiny)
+    ids, rows = core.candidates(spark, tiny), core.full_union(spark, tiny)
+    pairs, placed = core.truth_of(spark, tiny), core.placed_truth(spark, tiny)
+    known = placed.join(queries.select("q", F.col("entity_id").alias("entity")), ["q", "entity"]).join(pool.select("p", F.col("entity_id").alias("match_id")), ["p", "match_id"])
+    assert placed.count() == pairs.count() == known.count() > 0
+    for f in (recall.attribution, recall.rank_diagnostics, recall.missing_pairs):
+        assert sorted(map(str, f(pairs, ids).collect())) == sorted(map(str, f(placed, rows).collect()))
+    universe = core.universe_of(spark, tiny)
+    assert recall.candidate_stats(ids, universe).collect() == recall.candidate_stats(recall.counted(rows, queries), universe).collect()
+    plan = core.queries()["rank_diagnostics"](spark, tiny)._jdf.queryExecution().executedPlan().toString()
+    assert "entity_id" not in plan

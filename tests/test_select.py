@@ -139,3 +139,15 @@ def test_adaptive_without_yields(spark):
     yields = spark.createDataFrame([(s, 0, 0) for s, *_ in YIELDS], "strategy string, exclusive long, recovered long")
     assert S.adaptive(build(spark, [(0, 1, 4), (0, 2, 32)]), yields, 5, "union", "kept").where("kept").count() == 2
     assert S.adaptive(build(spark, []), yields, 5, "union", "kept").count() == 0
+
+
+def test_shares_of_a_pair_add_up_in_the_union(spark):
+    """Rows (q, p, share) are summed per strategy, scores of others are compared with the sums."""
+    shares = spark.createDataFrame([(1, 2, 0.25), (1, 2, 0.5), (1, 3, 0.0)], "q long, p long, share double")
+    more = spark.createDataFrame([(1, 2, 0.5), (1, 2, 0.5)], "q long, p long, share double")
+    exact = spark.createDataFrame([(1, 2, 0.8), (2, 2, 1.0)], "q long, p long, score double")
+    found = S.union_scale({"name_token": shares, "address_token": more, "exact_core": exact})
+    bits = S.C.SCALE_BITS
+    got = {(r.q, r.p): (r.mask, r.content_score) for r in found.collect()}
+    assert got == {(1, 2): (bits["name_token"] | bits["address_token"] | bits["exact_core"], 1.0), (1, 3): (bits["name_token"], 0.0), (2, 2): (bits["exact_core"], 1.0)}
+    assert {r.content_score for r in S.union_scale({"name_token": shares}).collect()} == {0.75, 0.0}
