@@ -108,3 +108,13 @@ def test_pairs_of_the_union_are_dealt_once(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"hashpartitioning\(q#\d+L, p#", plan) and "REPARTITION_BY_COL" in plan
     assert ranked.where("rank = 0").count() == 2
+
+
+@pytest.mark.parametrize(("n_q", "n_p"), [(100_000, 200_000), (1_700_000, 3_400_000), (17_000_000, 34_000_000), (0, 0), (0, 9), (9, 0), (5_000_000, 10), (10, 5_000_000)])
+def test_grids_send_little_and_bound_their_cells(n_q, n_p):
+    shards, blocks = search.grid(n_q, n_p, search.VECTOR_TERMS)
+    assert shards * blocks >= search.TASKS and n_p <= shards * search.VECTOR_TERMS and n_q <= blocks * search.VECTOR_TERMS
+    sent, one = shards * n_q + blocks * n_p, n_q + search.TASKS * n_p
+    assert sent <= one or max(n_q, n_p) > search.VECTOR_TERMS
+    if (n_q, n_p) == (100_000, 200_000):
+        assert sent <= one / 2
