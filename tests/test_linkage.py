@@ -147,3 +147,19 @@ def test_placed_truth_meets_candidates_as_ids_do(spark, tiny):
     assert recall.candidate_stats(ids, universe).collect() == recall.candidate_stats(recall.counted(rows, queries), universe).collect()
     plan = core.queries()["rank_diagnostics"](spark, tiny)._jdf.queryExecution().executedPlan().toString()
     assert "entity_id" not in plan
+
+
+def test_check_of_features_keeps_plans_small_and_fails_on_any_that_is_not_finite(spark, tiny):
+    from recordloom import queries as core
+
+    pairs, queries, pool = core.feature_pairs(spark, tiny)
+    rows = X.pair_features(pairs, queries, pool)
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    assert size(X.checked(rows)) < 1.1 * size(rows)
+    good = dict.fromkeys(X.FEATURES, 0.5)
+    schema = "q long, " + ", ".join(f"{c} double" for c in X.FEATURES)
+    frame = lambda **other: spark.createDataFrame([(1, *good.values()), (2, *(good | other).values())], schema)
+    assert X.checked(frame()).count() == 2
+    for value in (None, float("nan"), float("inf")):
+        with pytest.raises(Exception, match="not finite: name_jaccard,city_match"):
+            X.checked(frame(name_jaccard=value, city_match=value)).collect()
