@@ -118,3 +118,39 @@ def test_grids_send_little_and_bound_their_cells(n_q, n_p):
     assert sent <= one or max(n_q, n_p) > search.VECTOR_TERMS
     if (n_q, n_p) == (100_000, 200_000):
         assert sent <= one / 2
+
+
+def test_character_vectors_are_one_row_a_record(spark, monkeypatch):
+    """N-grams meet their idfs by word and are searched packed; scores as by brute force, repeated words and unknown n-grams included."""
+    rng = random.Random(5)
+    words = ["ab", "abc", "oak", "oaks", "mill", "milling", "x", "überoak"]
+    pool = [" ".join(rng.choices(words, k=rng.randint(1, 5))) for _ in range(60)] + ["", "oak oak oak"]
+    asked = ["oak oak mill", "zzz", "abc unknown", "", *pool[:10]]
+
+    def grams(text):
+        padded = [f" {w} " for w in text.split()]
+        return [w[i : i + n] for w in padded for n in range(2, 6) if n == 2 or len(w) >= n for i in range(max(len(w) - n, 0) + 1)]
+
+    held = [set(grams(t)) for t in pool]
+    df = {g: sum(g in h for h in held) for g in set().union(*held)}
+
+    def vector(text):
+        tokens = grams(text)
+        raw = {g: (1 + math.log(tokens.count(g))) * (math.log((1 + len(pool)) / (1 + df[g])) + 1) for g in set(tokens) if 0 < df.get(g, 0) <= 0.995 * len(pool)}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        return {g: x / norm for g, x in raw.items()}
+
+    tables = []
+    whole = R.cosine_search
+    monkeypatch.setattr(R, "cosine_search", lambda a, b, *rest: tables.extend((a, b)) or whole(a, b, *rest))
+    sides = [spark.createDataFrame(list(enumerate(texts)), f"{key} long, name_core string") for key, texts in (("q", asked), ("p", pool))]
+    got = {}
+    for r in R.char_name(*sides, k=7).collect():
+        got.setdefault(r.q, {})[r.p] = r.score
+    vectors = [vector(t) for t in pool]
+    for q, text in enumerate(asked):
+        v = vector(text)
+        scores = sorted((-round(s, 10), p) for p, o in enumerate(vectors) if (s := sum(x * o.get(g, 0.0) for g, x in v.items())) > 0)
+        want = {p: -s for s, p in scores[:7] if -s >= 0.2}
+        assert got.get(q, {}).keys() == want.keys() and all(abs(got[q][p] - want[p]) < 1e-9 for p in want)
+    assert [t.count() for t in tables] == [len([t for t in asked if vector(t)]), len([t for t in pool if t])]
