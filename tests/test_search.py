@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from recordloom.functions import text as T
 from recordloom.functions.text import ascii_tokens, hashed_words, plain_words, strip_accents
 from recordloom.operators import retrieval as R
 from recordloom.operators import search
@@ -30,6 +31,25 @@ def test_plain_words_as_in_columns(spark):
         assert plain_words(t, 16) == want[i][:16]
 
 
+def test_words_of_truth_are_hashed_without_strings(monkeypatch):
+    """Only words of over 12 characters are hashed as strings; others are told apart exactly, whatever they are folded from."""
+    rng = random.Random(3)
+    odd = [chr(i) for i in range(0x250)] + [chr(c) for c in range(0x300, 0x320)] + [*"abz09 AZ" * 40, "ᴬ", "\U0001d400", "Ａ", "①", "Σ", "한", "\uffff"]
+    texts = ["Ünïcode KK ſt ﬁ İstanbul Éáb e\u0301a", "", None, "!!", "a A aa 0 00 0a", "\0a\0", "z" * 12 + " " + "Z" * 13 + " " + "z" * 13 + "0", *("".join(rng.choices(odd, k=rng.randint(0, 60))) for _ in range(500)), ""]
+    words = sorted({w for t in texts if t for w in plain_words(t)})
+    hashed, whole = [], T.pd.util.hash_array
+    monkeypatch.setattr(T.pd.util, "hash_array", lambda values, **more: hashed.extend(values) or whole(values, **more))
+    ones, codes = T.word_hashes(words)
+    assert (ones == 1).all() and len(set(codes.tolist())) == len(words) > 500 and codes.min() >= 0
+    assert sorted(hashed) == [w for w in words if len(w) > 12] and len(hashed) >= 2
+    known = dict(zip(words, codes.tolist(), strict=True))
+    counts, codes = T.word_hashes(texts)
+    ends = counts.cumsum().tolist()
+    for text, n, end in zip(texts, counts.tolist(), ends, strict=True):
+        assert codes[end - n : end].tolist() == sorted({known[w] for w in plain_words(text or "")})
+    assert [len(x) for x in T.word_hashes([])] == [0, 0]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_similar_sets_against_brute_force(spark, seed, monkeypatch):
     monkeypatch.setattr(search, "FREQUENT", 30)
