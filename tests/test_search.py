@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,22 @@ def test_similar_sets_against_brute_force(spark, seed, monkeypatch):
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
 
 
+def test_words_of_a_cell_take_few_bytes():
+    """A cell numbers its words without an eight-byte place of each."""
+    rng = np.random.default_rng(1)
+    rare = [np.unique(rng.integers(0, 1 << 40, rng.integers(0, 20))) for _ in range(2000)]
+    common = [np.unique(rng.integers(0, search.FREQUENT, rng.integers(1, 400))) for _ in range(2000)]
+    sets = search._Sets(pa.table({"id": np.arange(2000), "rare": [r.astype("<i8").tobytes() for r in rare], "common": [c.astype("<u2").tobytes() for c in common]}))
+    known = np.unique(sets.rare)[::2]
+    tracemalloc.start()
+    words = sets.words(known)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    place = {x: i for i, x in enumerate(known.tolist())}
+    assert words.tolist() == [x for r, c in zip(rare, common, strict=True) for x in ([place.get(w, -1) for w in r.tolist()] + [w + len(known) for w in c.tolist()])]
+    assert peak <= 16 * len(words)
+
+
 @pytest.mark.parametrize(("k", "least", "apart"), [(3, 0.0, True), (5, 0.3, False), (1000, 0.2, False), (2, 0.0, False)])
 def test_cosines_against_brute_force(spark, k, least, apart, monkeypatch):
     monkeypatch.setattr(search, "VECTOR_TERMS", 300)
