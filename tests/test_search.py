@@ -191,3 +191,27 @@ def test_character_vectors_are_one_row_a_record(spark, monkeypatch):
         want = {p: -s for s, p in scores[:7] if -s >= 0.2}
         assert got.get(q, {}).keys() == want.keys() and all(abs(got[q][p] - want[p]) < 1e-9 for p in want)
     assert [t.count() for t in tables] == [len([t for t in asked if vector(t)]), len([t for t in pool if t])]
+
+
+def test_few_of_the_rows_that_share_terms_are_scored_whole():
+    """Products are added up along the lists of rare terms; rows whose sums leave them no chance are not scored. Results as by brute force."""
+    rng = np.random.default_rng(7)
+    n, k, least = 1500, 10, 0.2
+    keys = np.unique(np.repeat(np.arange(n), 25) * 3000 + np.minimum(rng.zipf(1.4, 25 * n), 3000) - 1)
+    ids, terms = np.divmod(keys, 3000)
+    raw = np.log(n / np.bincount(terms)[terms]) + 1
+    weights = raw / np.sqrt(np.bincount(ids, raw * raw))[ids]
+    dense = np.zeros((n, 3000))
+    dense[ids, terms] = weights
+    scores = np.round(dense @ dense.T, search.DIGITS)
+    scored = []
+    whole = search._sums
+    try:
+        search._sums = lambda values, lengths: scored.append(len(lengths)) or whole(values, lengths)
+        got = {q: (p.tolist(), s) for q, p, s in search.best_cosines(pa.table({"q": ids, "term": terms, "w": weights}), pa.table({"p": ids, "term": terms, "w": weights}), k, least, False)}
+    finally:
+        search._sums = whole
+    for q in range(n):
+        want = [p for p in np.lexsort((np.arange(n), -scores[q]))[:k].tolist() if scores[q, p] >= least]
+        assert got[q][0] == want and np.allclose(got[q][1], scores[q, want], atol=1e-9)
+    assert sum(scored) < 0.03 * n * n
